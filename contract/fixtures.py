@@ -51,7 +51,8 @@ def untrimmed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw record per event, as written, with its order columns and ``k``."""
     documents = load(spark, sf_dir, "documents")
     total = documents.agg(F.count("*")).scalar()
-    texts = documents.select(F.col("doc_id").alias("text_id"), F.col("text"))
+    # Both sides grow with the data, so neither is broadcast whatever its size here.
+    texts = documents.select(F.col("doc_id").alias("text_id"), F.col("text")).hint("merge")
     event, user, k, value = (F.col(c) for c in ("event_id", "user_id", "k", "value"))
     level = pick(
         F.array_position(

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode White_Space, and the four separators Python's str.split() adds to it.
-_SPACE = r"[\s\x1c-\x1f]"
+# --- fixed values: Unicode White_Space, and what Python's str.split() adds to it ------
+WHITE_SPACE = (
+    "\t\n\v\f\r \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+SEPARATOR_CONTROLS = "\x1c\x1d\x1e\x1f"
+# --- end of fixed values ------------------------------------------------------------
+
+#: The same two sets as a regular expression.
+_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -21,17 +30,17 @@ def has_text(c: Column) -> Column:
 
 def strip_space(c: Column) -> Column:
     """Trim every kind of whitespace, the separator controls included."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}++\z", "")
+    return F.btrim(c, F.lit(WHITE_SPACE + SEPARATOR_CONTROLS))
 
 
 def strip_field(c: Column) -> Column:
     """Trim Unicode White_Space only: what typed string fields do on ingestion."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s++\z", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def collapse_space(c: Column) -> Column:
     """Trim, and turn every run of whitespace into one space."""
-    return F.trim(F.regexp_replace(c, rf"(?U){_SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, _SPACE_RUN, " "))
 
 
 def dedupe_key(c: Column) -> Column:
@@ -40,10 +49,22 @@ def dedupe_key(c: Column) -> Column:
 
 
 def truncate(c: Column, limit: int = 600) -> Column:
-    """Collapse; beyond ``limit`` characters keep ``limit - 1`` and an ellipsis."""
-    text = collapse_space(c)
-    cut = F.concat(F.rtrim(F.substring(text, 1, limit - 1)), F.lit("…"))
-    return F.when(F.length(text) <= limit, text).otherwise(cut)
+    """Collapse; beyond ``limit`` characters keep ``limit - 1`` and an ellipsis.
+
+    The start of a long text is enough if it is still too long once collapsed: what
+    follows can only lengthen it. Otherwise the whole text is collapsed.
+    """
+    start = collapse_space(F.substring(c, 1, 2 * limit))
+    whole = collapse_space(c)
+
+    def cut(text: Column) -> Column:
+        return F.concat(F.rtrim(F.substring(text, 1, limit - 1)), F.lit("…"))
+
+    return (
+        F.when(F.length(start) > limit, cut(start))
+        .when(F.length(whole) > limit, cut(whole))
+        .otherwise(whole)
+    )
 
 
 def sanitize_amount(c: Column, limit: int = 200) -> Column:
