@@ -24,7 +24,7 @@ from gleanery.operators import (
     review,
 )
 from gleanery.plans import build
-from gleanery.plans.staging import shared_folder
+from gleanery.plans.staging import shared_folder, stage
 from gleanery.schema import (
     AMOUNT_TYPES,
     LEVELS,
@@ -70,6 +70,13 @@ def digest(value: Column) -> Column:
 TABLE = ", ".join(TABLE_COLUMNS)
 PLACE = ", ".join(ORDER_COLUMNS)
 
+
+def _pages(spark, sf):
+    """Pages read, written once like a build does, so that filters do not read them again."""
+    read = captures.read_captures(fx.sources_with_captures(spark, sf))
+    return stage(read, shared_folder(spark), "pages")
+
+
 # --- scans and sinks ------------------------------------------------------------------
 
 _REGISTRY_COLUMNS = (
@@ -180,7 +187,7 @@ def _(spark, sf):
 
 def _audit(spark, sf):
     """Pages read, and the accepted records of their answers, counted."""
-    pages = captures.read_captures(fx.sources_with_captures(spark, sf))
+    pages = _pages(spark, sf)
     typed = build.raw_records(fx.answers(spark, sf), build.source_hints(pages), fx.run_date())
     return audit.audit(pages, answering.accepted(typed))
 
@@ -246,7 +253,7 @@ def _(spark, sf):
     f"WITH {q.PAGES} SELECT source_id FROM page_texts WHERE text <> ''",
 )
 def _(spark, sf):
-    pages = captures.read_captures(fx.sources_with_captures(spark, sf))
+    pages = _pages(spark, sf)
     return pages.filter(text.has_text(F.col("text"))).select("source_id")
 
 
@@ -261,7 +268,7 @@ def _(spark, sf):
 
 def _entries(spark, sf):
     """Object entries of the answers, joined with what their source gives them."""
-    hints = build.source_hints(captures.read_captures(fx.sources_with_captures(spark, sf)))
+    hints = build.source_hints(_pages(spark, sf))
     return fx.answers(spark, sf), hints
 
 
@@ -308,8 +315,8 @@ def _(spark, sf):
 @query(
     "b07_unprintable_dropped",
     f"""WITH {q.RAW} SELECT rec_ord FROM raw WHERE NOT (
-      (rec_ord % 4 = 0 AND amount_value IS NOT NULL AND amount_type IN ('fixed_dollar', 'percentage', 'per_unit', 'up_to'))
-      OR (rec_ord % 4 = 1 AND amount_value IS NOT NULL AND amount_type = 'percentage')
+      (rec_ord % 4 = 0 AND amount_value IS NOT NULL AND coalesce(amount_type, '') IN ('fixed_dollar', 'percentage', 'per_unit', 'up_to'))
+      OR (rec_ord % 4 = 1 AND amount_value IS NOT NULL AND coalesce(amount_type, '') = 'percentage')
       OR rec_ord % 4 = 2)""",
 )
 def _(spark, sf):
@@ -420,7 +427,7 @@ _PROMPT = (
       CAST(0 AS DOUBLE) AS temperature, CAST(NULL AS DOUBLE) AS locked_temperature FROM slots""",
 )
 def _(spark, sf):
-    pages = captures.read_captures(fx.sources_with_captures(spark, sf))
+    pages = _pages(spark, sf)
     asked = requests.extraction_requests(pages)
     locked = F.when(~requests.locks_temperature(F.lit("GPT-5-mini")), F.lit(0.0))
     return asked.select(

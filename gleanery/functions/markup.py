@@ -18,23 +18,34 @@ RAW_TEXT_ELEMENTS = ["script", "style"]
 HIDDEN_ELEMENTS = ["noscript", "header", "footer", "nav", "template", "rt", "rp"]
 # --- end of fixed values ------------------------------------------------------------
 
-# An opening tag that does not close itself: the name, then attributes not ending in "/".
-_OPEN = r"<{0}(?:\s(?:[^>]*[^>/])?)?>"
-_COMMENT = r"<!--.*?(?:-->|\z)"
-_RAW_TEXT = "|".join(_OPEN.format(n) + rf".*?(?:</{n}\s*>|\z)" for n in RAW_TEXT_ELEMENTS)
-_SUBTREE = "|".join(_OPEN.format(n) + rf".*?(?:</{n}\s*>|\z)" for n in HIDDEN_ELEMENTS)
-_HIDDEN_NAMES = "|".join(HIDDEN_ELEMENTS)
-_LEFTOVER_CLOSE = rf"(?i)</(?:{_HIDDEN_NAMES})\s*>"
-_INNERMOST = (
-    rf"(?is)<({_HIDDEN_NAMES})(?:\s(?:[^>]*[^>/])?)?>"
-    rf"(?:(?!</?(?:{_HIDDEN_NAMES})[\s>]).)*+</\1\s*>"
+# Every pattern starts with one literal character, which lets the engine skip to it.
+# Attributes of an opening tag that does not close itself.
+_OPEN = r"(?:\s(?:[^>]*[^>/])?)?>"
+_HIDDEN = "|".join(HIDDEN_ELEMENTS)
+_COMMENT = r"!--.*?(?:-->|\z)"
+
+
+def _subtrees(names: list[str]) -> str:
+    """Elements from their opening tag to the next closing one, or to the end."""
+    return "|".join(rf"{n}{_OPEN}.*?(?:</{n}\s*>|\z)" for n in names)
+
+
+_NO_TEXT = rf"(?is)<(?:{_COMMENT}|{_subtrees(RAW_TEXT_ELEMENTS)})"
+_FLAT = rf"(?is)<(?:{_COMMENT}|{_subtrees(RAW_TEXT_ELEMENTS + HIDDEN_ELEMENTS)})"
+# A hidden element that opens once more before it closes.
+_NESTED = rf"(?is)<({_HIDDEN}){_OPEN}(?:(?!</?\1[\s>]).)*+<\1[\s>]"
+_INNERMOST = rf"(?is)<({_HIDDEN}){_OPEN}(?:(?!</?(?:{_HIDDEN})[\s>]).)*+</\1\s*>"
+_CLOSING = rf"(?i)</(?:{_HIDDEN})\s*>"
+_REST_HIDDEN = rf"(?is)<(?:{_subtrees(HIDDEN_ELEMENTS)})"
+_QUOTED_TAG = r"""/?[a-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
+_TAG = rf"(?is)<(?:{_QUOTED_TAG}|/?[a-z][^>]*(?:>|\z)|[!?][^>]*(?:>|\z))"
+
+# Entities that make up nearly all of a page's references; "amp" must come last.
+_COMMON_ENTITIES = ["lt", "gt", "quot", "nbsp", "middot", "copy", "amp"]
+_OTHER_ENTITY = (
+    rf"&(?!(?:{'|'.join(_COMMON_ENTITIES)});)"
+    "(?:#[0-9]|#[xX][0-9A-Fa-f]|[A-Za-z][A-Za-z0-9]*;)"
 )
-_QUOTED_TAG = r"""</?[a-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
-_TAG = rf"(?is){_QUOTED_TAG}|</?[a-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)"
-
-# Entities that make up nearly all of a page's references; "&amp;" must come last.
-_COMMON_ENTITIES = ["lt", "gt", "quot", "nbsp", "middot", "copy"]
-_OTHER_ENTITY = r"&(?!amp;)(?:#[0-9]|#[xX][0-9A-Fa-f]|[A-Za-z][A-Za-z0-9]*;)"
 _ENTITY_HEAD = r"^(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*(?=;));?"
 
 
@@ -67,42 +78,51 @@ def _entity_piece(piece: Column) -> Column:
     )
 
 
-def decode_entities(text: Column) -> Column:
-    """Replace character references; unknown and unterminated names stay as they are."""
-    plain = text
-    for name in _COMMON_ENTITIES:
-        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
-    rare = F.array_join(
+def _decode_any(text: Column) -> Column:
+    """Replace every character reference, piece by piece between ampersands."""
+    return F.array_join(
         F.transform(
-            F.split(plain, "&"),
+            F.split(text, "&"),
             lambda piece, i: F.when(i == 0, piece).otherwise(_entity_piece(piece)),
         ),
         "",
     )
-    return F.when(F.rlike(plain, F.lit(_OTHER_ENTITY)), rare).otherwise(
-        F.replace(plain, F.lit("&amp;"), F.lit("&"))
-    )
+
+
+def _decode_common(text: Column) -> Column:
+    """Replace the common references of a text that has no others."""
+    for name in _COMMON_ENTITIES:
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+    return text
+
+
+def decode_entities(text: Column, has_rare: Column | None = None) -> Column:
+    """Replace character references; unknown and unterminated names stay as they are."""
+    rare = F.rlike(text, F.lit(_OTHER_ENTITY)) if has_rare is None else has_rare
+    return F.when(rare, _decode_any(text)).otherwise(_decode_common(text))
 
 
 def _drop_nested(html: Column) -> Column:
     """Remove hidden subtrees from the inside out, one nesting level per step."""
-    bare = F.regexp_replace(html, rf"(?is){_COMMENT}|{_RAW_TEXT}", " ")
-    levels = F.regexp_count(bare, F.lit(rf"(?i)</(?:{_HIDDEN_NAMES})\s*>"))
+    bare = F.regexp_replace(html, _NO_TEXT, " ")
     peeled = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(levels, F.lit(1))),
+        F.sequence(F.lit(1), F.greatest(F.regexp_count(html, F.lit(_CLOSING)), F.lit(1))),
         bare,
         lambda text, _: F.regexp_replace(text, _INNERMOST, " "),
     )
-    return F.regexp_replace(peeled, rf"(?is){_SUBTREE}", " ")
+    return F.regexp_replace(peeled, _REST_HIDDEN, " ")
 
 
 def visible_text(html: Column) -> Column:
     """Text outside hidden elements, tags and comments, whitespace collapsed.
 
-    One pass is enough unless a hidden element nests in its own kind, which leaves a
-    closing tag behind; only such pages take the slower way.
+    Both choices test the page as it came, not an intermediate text, so that no step
+    is computed twice. Pages where a hidden element nests in its own kind, and pages
+    with rare entities, take a slower way.
     """
-    flat = F.regexp_replace(html, rf"(?is){_COMMENT}|{_RAW_TEXT}|{_SUBTREE}", " ")
-    shown = F.when(F.rlike(flat, F.lit(_LEFTOVER_CLOSE)), _drop_nested(html)).otherwise(flat)
-    text = decode_entities(F.regexp_replace(shown, _TAG, " "))
+    shown = F.when(F.rlike(html, F.lit(_NESTED)), _drop_nested(html)).otherwise(
+        F.regexp_replace(html, _FLAT, " ")
+    )
+    untagged = F.regexp_replace(shown, _TAG, " ")
+    text = decode_entities(untagged, F.rlike(html, F.lit(_OTHER_ENTITY)))
     return collapse_space(F.coalesce(text, F.lit("")))
