@@ -90,23 +90,18 @@ def format_amount_number(v: Column) -> Column:
 
 def format_significant(v: Column) -> Column:
     """Six significant digits without trailing zeros, exponent form when very large or small."""
-    scientific = F.format_string("%.5e", v)
-    exponent = F.regexp_extract(scientific, r"e([+-]\d+)$", 1).try_cast("int")
-    fixed = F.replace(
-        F.call_function("format_number", v, F.greatest(F.lit(0), F.lit(5) - exponent)),
-        F.lit(","),
-        F.lit(""),
-    )
-    trimmed = F.when(
-        F.contains(fixed, F.lit(".")), F.regexp_replace(fixed, r"\.?0+$", "")
-    ).otherwise(fixed)
+    size = F.abs(v)
+    # Sizes that six digits round to at least 1e-4 and below 1e6.
+    plain = (size >= 9.999995e-05) & (size < 999999.5)
+    places = F.greatest(F.lit(0), F.lit(5) - F.floor(F.log10(size)).cast("int"))
+    fixed = F.replace(F.call_function("format_number", v, places), F.lit(","), F.lit(""))
+    scientific = F.regexp_replace(F.format_string("%.5e", v), r"\.?0+e", "e")
     return (
         F.when(F.isnan(v), F.lit("nan"))
-        .when(v == F.lit(float("inf")), F.lit("inf"))
-        .when(v == F.lit(float("-inf")), F.lit("-inf"))
+        .when(size == F.lit(float("inf")), F.when(v > 0, F.lit("inf")).otherwise(F.lit("-inf")))
         .when(v == 0, F.lit("0"))
-        .when(exponent.between(-4, 5), trimmed)
-        .otherwise(F.regexp_replace(scientific, r"\.?0+e", "e"))
+        .when(plain, F.regexp_replace(fixed, r"\.0*$|(?<=\.\d{1,12})0+$", ""))
+        .otherwise(scientific)
     )
 
 

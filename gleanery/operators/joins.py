@@ -10,10 +10,11 @@ _SALT = "__salt"
 
 
 def _byte_limit(df: DataFrame) -> int:
-    """The session's own broadcast limit in bytes."""
-    jvm = df.sparkSession._jvm
+    """The session's own broadcast limit in bytes; negative if broadcasts are off."""
     setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
+    if setting.startswith("-"):
+        return -1
+    return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
