@@ -130,9 +130,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = f"{shared_folder(spark)}/answers"
-    fx.answers(spark, sf).select(
-        "source_id", "first_pos", F.lit("").alias("final_url"), "payload"
-    ).write.parquet(path)
+    fx.answers(spark, sf).write.parquet(path)
     body = coercion.parse_json(F.col("payload"))
     programs = F.try_variant_get(body, "$.programs", "array<variant>")
     # The unreadable answer is counted by its commas between entries.
