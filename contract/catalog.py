@@ -73,8 +73,7 @@ PLACE = ", ".join(ORDER_COLUMNS)
 
 def _pages(spark, sf):
     """Pages read, written once like a build does, so that filters do not read them again."""
-    read = captures.read_captures(fx.sources_with_captures(spark, sf))
-    return stage(read, shared_folder(spark), "pages")
+    return stage(fx.pages(spark, sf), shared_folder(spark), "pages")
 
 
 # --- scans and sinks ------------------------------------------------------------------
@@ -97,7 +96,7 @@ def _(spark, sf):
     length(text) AS text_chars, md5(text) AS text_md5 FROM page_texts""",
 )
 def _(spark, sf):
-    pages = captures.read_captures(fx.sources_with_captures(spark, sf))
+    pages = fx.pages(spark, sf)
     return pages.select(
         "source_id",
         "content_type",
@@ -482,9 +481,8 @@ def _(spark, sf):
     f"WITH {q.PAGES} SELECT source_id, static_type FROM statics",
 )
 def _(spark, sf):
-    return fx.sources_with_captures(spark, sf).select(
-        "source_id", captures.static_type().alias("static_type")
-    )
+    joined = captures.with_sources(fx.captures(spark, sf), fx.registry(spark, sf))
+    return joined.select("source_id", captures.static_type().alias("static_type"))
 
 
 @query(
@@ -492,7 +490,7 @@ def _(spark, sf):
     f"WITH {q.PAGES} SELECT content_type, needs_render, count(*) AS pages FROM page_texts GROUP BY ALL",
 )
 def _(spark, sf):
-    pages = captures.read_captures(fx.sources_with_captures(spark, sf))
+    pages = fx.pages(spark, sf)
     return pages.groupBy("content_type", "needs_render").agg(F.count("*").alias("pages"))
 
 
@@ -842,9 +840,8 @@ def _link_checked(limit: str) -> str:
 
 
 def _checked(spark, sf, limit: int) -> DataFrame:
-    table = review.flag_broken_links(
-        fx.finished(spark, sf), fx.link_status(spark, sf), limit
-    )
+    finished = stage(fx.finished(spark, sf), shared_folder(spark), "table")
+    table = review.flag_broken_links(finished, fx.link_status(finished), limit)
     return table.select(*ORDER_COLUMNS, "program_links", "review_needed")
 
 
@@ -1124,7 +1121,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     broken = review.link_is_broken(F.col("status"), F.col("error"))
-    return fx.link_status(spark, sf).select("url", broken.alias("broken"))
+    return fx.link_status(fx.finished(spark, sf)).select("url", broken.alias("broken"))
 
 
 _COUNTED = ", ".join(
@@ -1172,7 +1169,8 @@ def _(spark, sf):
     LEFT JOIN verdicts v USING (url)""",
 )
 def _(spark, sf):
-    return liveness.link_liveness(fx.finished(spark, sf), fx.link_status(spark, sf))
+    finished = stage(fx.finished(spark, sf), shared_folder(spark), "table")
+    return liveness.link_liveness(finished, fx.link_status(finished))
 
 
 # --- extension points ----------------------------------------------------------------------------

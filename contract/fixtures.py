@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.urls import authority
 from gleanery.operators.answers import conform_records
+from gleanery.operators.captures import read_captures
 from gleanery.plans.build import curate, run_date_column
 from gleanery.schema import LEVELS, RAW_TYPES
 from gleanery.sources.readers import with_registry_defaults
@@ -189,8 +190,9 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sources_with_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return registry(spark, sf_dir).join(captures(spark, sf_dir), "source_id", "left")
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources with the text read from their captures."""
+    return read_captures(captures(spark, sf_dir), registry(spark, sf_dir))
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,11 +285,9 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def link_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts on the distinct links of the finished table."""
-    links = finished(spark, sf_dir).filter("program_links <> ''").select(
-        F.col("program_links").alias("url")
-    )
+def link_status(table: DataFrame) -> DataFrame:
+    """Verdicts on the distinct links of a finished table."""
+    links = table.filter("program_links <> ''").select(F.col("program_links").alias("url"))
     host = F.regexp_extract("url", r"//src([0-9]+)\.", 1).try_cast("int")
     return (
         links.distinct()

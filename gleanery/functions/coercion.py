@@ -26,18 +26,27 @@ _NUMBER_TEXT = (
 _SENTINEL = "end-of-answer-3f9d0c"
 
 
-def parse_json(payload: Column) -> Column:
-    """The payload as VARIANT, null unless the whole text is one JSON value.
+def wrap_json(payload: Column) -> Column:
+    """The payload parsed as the first of two array items; '' and null count as ``{}``.
 
-    Spark's parser stops at the end of the first value, so the payload is parsed as the
-    first of two array items: trailing text breaks the array or hides the second item.
+    Spark's parser stops at the end of the first value. In an array, trailing text breaks
+    the syntax or hides the second item.
     """
     text = F.coalesce(F.nullif(payload, F.lit("")), F.lit("{}"))
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]')))
-    whole = (F.try_variant_get(wrapped, "$[1]", "string") == _SENTINEL) & F.try_variant_get(
-        wrapped, "$[2]", "variant"
-    ).isNull()
-    return F.when(whole, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]')))
+
+
+def unwrap_json(wrapped: Column) -> Column:
+    """The payload as VARIANT, null unless its whole text was one JSON value."""
+    second = F.try_variant_get(wrapped, "$[1]", "string")
+    third = F.try_variant_get(wrapped, "$[2]", "variant")
+    return F.when(
+        (second == _SENTINEL) & third.isNull(), F.try_variant_get(wrapped, "$[0]", "variant")
+    )
+
+
+def parse_json(payload: Column) -> Column:
+    return unwrap_json(wrap_json(payload))
 
 
 def kind(value: Column) -> Column:

@@ -21,9 +21,12 @@ def explode_programs(answers: DataFrame, *, keep: list[str]) -> DataFrame:
     Malformed payloads, payloads that are no object and answers without a list give no
     rows.
     """
-    programs = F.try_variant_get("payload_json", "$.programs", "array<variant>")
+    programs = F.try_variant_get(
+        coercion.unwrap_json(F.col("wrapped")), "$.programs", "array<variant>"
+    )
+    # A column of its own, so that each payload is parsed once.
     return (
-        answers.withColumn("payload_json", coercion.parse_json(F.col("payload")))
+        answers.withColumn("wrapped", coercion.wrap_json(F.col("payload")))
         .select(*keep, F.posexplode(programs).alias("pos", "entry"))
         .filter(F.startswith(coercion.kind(F.col("entry")), F.lit("OBJECT")))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.markup import visible_text
 from gleanery.functions.text import blank_to_null, has_text, strip_space
+from gleanery.operators.joins import fits_broadcast
 
 #: Static text shorter than this is taken for a page that needs a browser.
 MIN_STATIC_CHARS = 400
@@ -14,6 +15,36 @@ MIN_STATIC_CHARS = 400
 MIN_CONTENT_CHARS = 40
 
 
+def with_texts(captures: DataFrame) -> DataFrame:
+    """Visible text in place of markup: ``static_text`` and ``rendered_text``.
+
+    Needs nothing from the registry, so the markup never takes part in a shuffle.
+    """
+    return captures.withColumns(
+        {
+            "static_text": visible_text(F.col("static_html")),
+            "rendered_text": visible_text(F.col("rendered_html")),
+        }
+    ).drop("static_html", "rendered_html")
+
+
+def with_sources(texts: DataFrame, registry: DataFrame) -> DataFrame:
+    """Every source with its capture; one without a capture counts as a failed request.
+
+    A registry within the broadcast limit leaves the captures where they are; the sources
+    without one are then found by their keys alone.
+    """
+    found = texts.withColumn("error", F.coalesce("error", F.lit(False)))
+    if fits_broadcast(registry):
+        waiting = registry.join(texts.select("source_id"), "source_id", "left_anti")
+        joined = found.join(F.broadcast(registry), "source_id").unionByName(
+            waiting, allowMissingColumns=True
+        )
+    else:
+        joined = registry.join(found, "source_id", "left")
+    return joined.withColumn("error", F.coalesce("error", F.lit(True)))
+
+
 def static_type() -> Column:
     """Kind of a static capture, from its error flag, status, header type and address."""
     address = F.coalesce(blank_to_null(F.col("final_url")), F.col("url"))
@@ -28,55 +59,52 @@ def static_type() -> Column:
     )
 
 
-def _static_text(kind: Column) -> Column:
-    return (
-        F.when(kind == "html_text", visible_text(F.col("static_html")))
-        .when(kind == "pdf_text", F.coalesce("pdf_text", F.lit("")))
-        .otherwise(F.lit(""))
-    )
-
+def choose_text(captured: DataFrame) -> DataFrame:
+    """Add ``text`` with its type, address and size, and what follows from them.
 
-def read_captures(captures: DataFrame) -> DataFrame:
-    """Add ``text``, ``content_type``, ``final_url``, ``text_chars`` and ``needs_render``.
-
-    Expects capture columns beside the source's ``url`` and ``render``. Static text wins
-    unless the source asks for a browser or the text is short; then rendered text does,
-    if there is any. Markup of the losing side is not read.
+    Static text wins unless the source asks for a browser or the text is short; then
+    rendered text does, if there is any. ``needs_render`` tells that a browser was called
+    for, ``extractable`` that there is enough text to extract from.
     """
-    static = captures.withColumn("static_type", static_type()).withColumn(
-        "static_text",
-        F.when(F.col("render") != "js", _static_text(F.col("static_type"))).otherwise(F.lit("")),
+    kind = static_type()
+    static = (
+        F.when(F.col("render") == "js", F.lit(""))
+        .when(kind == "html_text", F.col("static_text"))
+        .when(kind == "pdf_text", F.col("pdf_text"))
+    )
+    staged = captured.withColumns(
+        {"static_type": kind, "static_text": F.coalesce(static, F.lit(""))}
     )
     keep_static = (F.col("render") == "static") | (
         (F.col("render") != "js") & (F.length("static_text") >= MIN_STATIC_CHARS)
     )
-    chosen = static.withColumn("needs_render", ~keep_static).withColumn(
-        "rendered_text",
-        F.when(F.col("needs_render"), visible_text(F.col("rendered_html"))).otherwise(F.lit("")),
-    )
-    rendered = F.col("needs_render") & has_text(F.col("rendered_text"))
+    rendered = ~keep_static & has_text(F.col("rendered_text"))
     nothing = ~rendered & (F.col("render") == "js")
     # A failed request keeps the requested address, a bad status the one it ended at.
     static_url = F.when(F.coalesce("error", F.lit(False)), F.col("url")).otherwise(
         F.coalesce(blank_to_null(F.col("final_url")), F.col("url"))
     )
-    text = F.when(rendered, F.col("rendered_text")).otherwise(F.col("static_text"))
     return (
-        chosen.withColumn("text", text)
-        .withColumn(
-            "content_type",
-            F.when(rendered, F.lit("js_text"))
-            .when(nothing, F.lit("empty"))
-            .otherwise(F.col("static_type")),
+        staged.withColumns(
+            {
+                "needs_render": ~keep_static,
+                "text": F.when(rendered, F.col("rendered_text")).otherwise(F.col("static_text")),
+                "content_type": F.when(rendered, F.lit("js_text"))
+                .when(nothing, F.lit("empty"))
+                .otherwise(F.col("static_type")),
+                "final_url": F.when(rendered | nothing, F.col("url")).otherwise(static_url),
+            }
+        )
+        .withColumns(
+            {
+                "text_chars": F.length("text").cast("bigint"),
+                "extractable": worth_extracting(F.col("text")),
+            }
         )
-        .withColumn("final_url", F.when(rendered | nothing, F.col("url")).otherwise(static_url))
-        .withColumn("text_chars", F.length("text").cast("bigint"))
         .drop(
             "static_type",
             "static_text",
             "rendered_text",
-            "static_html",
-            "rendered_html",
             "pdf_text",
             "status",
             "error",
@@ -85,6 +113,11 @@ def read_captures(captures: DataFrame) -> DataFrame:
     )
 
 
+def read_captures(captures: DataFrame, registry: DataFrame) -> DataFrame:
+    """One row per source: its registry columns and the text captured for it."""
+    return choose_text(with_sources(with_texts(captures), registry))
+
+
 def worth_extracting(text: Column) -> Column:
     """Non-empty text of at least the minimum length once trimmed."""
     return has_text(text) & (F.length(strip_space(text)) >= MIN_CONTENT_CHARS)

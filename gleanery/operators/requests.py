@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import blank_to_null
-from gleanery.operators.captures import worth_extracting
 from gleanery.operators.registry import jurisdiction
 
 #: Characters of page text a request carries.
@@ -52,7 +51,7 @@ def extraction_requests(
 ) -> DataFrame:
     """One request row for every page with enough text; slots are never null."""
     slots = (
-        pages.filter(worth_extracting(F.col("text")))
+        pages.filter("extractable")
         .withColumn("jurisdiction", jurisdiction())
         .withColumn("source_url", F.coalesce(blank_to_null(F.col("final_url")), F.col("url")))
         .withColumn("content", clip(F.col("text"), limit))

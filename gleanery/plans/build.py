@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators import answers as answering
 from gleanery.operators.audit import audit, run_totals
-from gleanery.operators.captures import read_captures, worth_extracting
+from gleanery.operators.captures import read_captures
 from gleanery.operators.dedupe import keep_first
 from gleanery.operators.gates import gate_report
 from gleanery.operators.joins import lookup_join
@@ -36,7 +36,7 @@ def run_date_column(run_date: date | str) -> Column:
 def source_hints(pages: DataFrame) -> DataFrame:
     """What an answer's records take from their source, for pages worth extracting."""
     hints = ["url", "level", "state", "county", "city", "utility"]
-    return pages.filter(worth_extracting(F.col("text"))).select(
+    return pages.filter("extractable").select(
         "source_id", "source_ord", "final_url", F.struct(*hints).alias("hint")
     )
 
@@ -62,18 +62,10 @@ def raw_records(answers: DataFrame, hints: DataFrame, run_date: Column) -> DataF
 
 
 def curate(
-    records: DataFrame,
-    run_date: Column,
-    *,
-    link_status: DataFrame | None = None,
-    check_links: int = 0,
-    defaults: PlaceDefaults = PlaceDefaults(),
+    records: DataFrame, run_date: Column, defaults: PlaceDefaults = PlaceDefaults()
 ) -> DataFrame:
-    """Raw records to finished rows: first wins, normalise, completeness, link verdicts."""
-    table = flag_incomplete(normalise(keep_first(records), run_date, defaults))
-    if link_status is None:
-        return table
-    return flag_broken_links(table, link_status, check_links)
+    """Raw records to finished rows: the first of each key, normalised, holes flagged."""
+    return flag_incomplete(normalise(keep_first(records), run_date, defaults))
 
 
 @dataclass
@@ -110,11 +102,7 @@ def build(
     folder = shared_folder(registry.sparkSession)
     day = run_date_column(run_date)
 
-    found = captures.withColumn("found", F.lit(True))
-    joined = selected.join(found, "source_id", "left").withColumn(
-        "error", F.coalesce("error", F.col("found").isNull())
-    )
-    pages = stage(read_captures(joined.drop("found")), folder, "pages")
+    pages = stage(read_captures(captures, selected), folder, "pages")
     given = extract(extraction_requests(pages)) if extract else answers
     if "first_pos" not in given.columns:
         given = given.withColumn("first_pos", F.lit(0).cast("bigint"))
@@ -122,11 +110,12 @@ def build(
 
     typed = stage(raw_records(given, source_hints(pages), day), folder, "raw")
     records = answering.accepted(typed)
-    table = curate(
-        records, day, link_status=link_status, check_links=check_links, defaults=defaults
-    )
+    table = stage(curate(records, day, defaults), folder, "table")
+    if link_status is not None and check_links != 0:
+        checked = flag_broken_links(table, link_status, check_links)
+        table = stage(checked, folder, "checked")
     return Curated(
-        table=stage(table, folder, "table"),
+        table=table,
         audit=audit(pages, records),
         rejects=answering.rejected(typed),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.urls import url_key
 from gleanery.operators import registry as reg
-from gleanery.operators.captures import read_captures
+from gleanery.operators.captures import read_captures, worth_extracting
 from gleanery.operators.requests import extraction_requests, locks_temperature
 from gleanery.plans import build
 from gleanery.plans.staging import stage
@@ -119,7 +119,16 @@ def test_nothing_selected_writes_nothing(spark, places):
     assert not Path(places["output_path"]).exists()
 
 
-def test_a_failing_source_leaves_the_others(spark):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_a_failing_source_leaves_the_others(spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        check_failing_source(spark)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_failing_source(spark):
     answers = spark.createDataFrame(
         [(i, 0, p) for i, p in enumerate(['{"programs":[{"program_name":"a"},{"x":1}]}', "oops", '{"programs":[{"program_name":"b"}]}'])],
         "source_id long, first_pos long, payload string",
@@ -195,14 +204,13 @@ CHOICES = [
 
 def test_capture_choice(spark):
     rows = [
-        (i, "https://a.org", render, f"https://a.org/{i}", status, error, header, static, pdf, rendered, 0.0)
-        for i, (render, status, error, header, static, pdf, rendered, *_) in enumerate(CHOICES)
+        (i, f"https://a.org/{i}", status, error, header, static, pdf, rendered, 0.0)
+        for i, (_, status, error, header, static, pdf, rendered, *_) in enumerate(CHOICES)
     ]
-    schema = (
-        "source_id long, url string, render string, final_url string, status int, error boolean, "
-        "header_type string, static_html string, pdf_text string, rendered_html string, elapsed_s double"
+    sources = spark.createDataFrame(
+        [(i, "https://a.org", c[0]) for i, c in enumerate(CHOICES)], "source_id long, url string, render string"
     )
-    out = read_captures(spark.createDataFrame(rows, schema)).orderBy("source_id").collect()
+    out = read_captures(spark.createDataFrame(rows, CAPTURE_SCHEMA), sources).orderBy("source_id").collect()
     assert [(r.content_type, r.needs_render, r.text_chars > 0) for r in out] == [c[7:] for c in CHOICES]
     assert out[1].final_url == "https://a.org" and out[0].final_url == "https://a.org/0"
     assert out[4].final_url == "https://a.org"
@@ -211,7 +219,8 @@ def test_capture_choice(spark):
 def test_requests_clip_and_skip_short_pages(spark):
     pages = registry(spark).select("*", F.lit("").alias("final_url"), F.lit("html_text").alias("content_type"))
     text = F.when(F.col("source_id") == 0, F.lit(" " * 50 + "x" * 39)).otherwise(F.repeat(F.lit("%s {y}"), 5000))
-    asked = extraction_requests(pages.withColumn("text", text), limit=100).orderBy("source_id").collect()
+    pages = pages.withColumn("text", text).withColumn("extractable", worth_extracting(F.col("text")))
+    asked = extraction_requests(pages, limit=100).orderBy("source_id").collect()
     assert [r.source_id for r in asked] == [1, 2, 3]
     assert asked[0].content == ("%s {y}" * 20)[:100] and asked[0].source_url == "https://lake.example.org"
     assert asked[0].prompt.endswith(asked[0].content + "\n") and asked[0].temperature == 0.0
@@ -227,6 +236,20 @@ def test_requests_clip_and_skip_short_pages(spark):
     ]
 
 
+def test_links_are_checked_in_a_build(spark):
+    verdicts = registry(spark).select("url", F.lit(404).alias("status"), F.lit(False).alias("error"))
+    built = build.build(
+        registry(spark),
+        captures(spark),
+        extract=one_per_request,
+        run_date="2026-02-01",
+        link_status=verdicts,
+        check_links=2,
+    )
+    flags = [r.review_needed for r in built.table.orderBy("source_ord").collect()]
+    assert flags == ["Yes", "Yes", "No", "No"]
+
+
 def test_links_job(spark):
     sources = registry(spark)
     verdicts = sources.select("url", F.lit(200).alias("status"), F.lit(False).alias("error"))
@@ -239,8 +262,8 @@ def test_links_job(spark):
 def test_stream_of_answers_gives_the_batch_records(spark, tmp_path):
     payloads = [(i % 4, i, f'{{"programs":[{{"program_name":"p{i}"}},{{"bad":1}}]}}') for i in range(20)]
     answers = spark.createDataFrame(payloads, ANSWER_SCHEMA)
-    joined = registry(spark).join(captures(spark), "source_id")
-    hints = stage(build.source_hints(read_captures(joined)), str(tmp_path), "hints")
+    pages = read_captures(captures(spark), registry(spark))
+    hints = stage(build.source_hints(pages), str(tmp_path), "hints")
     day = build.run_date_column("2026-02-01")
     incoming, out, mark = (str(tmp_path / n) for n in ("incoming", "out", "mark"))
     for half in (answers.filter("first_pos < 10"), answers.filter("first_pos >= 10")):
