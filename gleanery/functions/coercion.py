@@ -24,6 +24,21 @@ _NUMBER_TEXT = (
     r"|inf|infinity|nan)$"
 )
 _SENTINEL = "end-of-answer-3f9d0c"
+_NAN_KEY = "not-a-number-3f9d0c"
+
+
+def _without_bare_numbers(text: Column) -> Column:
+    """JSON text with the bare words NaN and Infinity, which strict JSON lacks, rewritten.
+
+    Infinity becomes a number too large for a double; NaN, for which no number stands,
+    becomes an object that only ``read_double`` knows. Both are found by walking from one
+    match to the next over whole strings, so words inside strings stay.
+    """
+    string = r'"(?:[^"\\]++|\\.)*+"'
+    infinity = F.regexp_replace(text, rf'(?s)\G((?:[^"I]++|{string})*+)Infinity', "$11e999")
+    return F.regexp_replace(
+        infinity, rf'(?s)\G((?:[^"N]++|{string})*+)NaN', f'$1{{"{_NAN_KEY}":0}}'
+    )
 
 
 def wrap_json(payload: Column) -> Column:
@@ -33,7 +48,9 @@ def wrap_json(payload: Column) -> Column:
     the syntax or hides the second item.
     """
     text = F.coalesce(F.nullif(payload, F.lit("")), F.lit("{}"))
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]')))
+    wrapped = F.concat(F.lit("["), text, F.lit(f',"{_SENTINEL}"]'))
+    bare = F.when(F.rlike(wrapped, F.lit("NaN|Infinity")), _without_bare_numbers(wrapped))
+    return F.coalesce(F.try_parse_json(wrapped), F.try_parse_json(bare))
 
 
 def unwrap_json(wrapped: Column) -> Column:
@@ -95,6 +112,7 @@ def read_double(value: Column, value_kind: Column) -> tuple[Column, Column]:
         F.when(
             F.rlike(value_kind, F.lit(_NUMBER_KIND)), F.try_variant_get(value, "$", "double")
         )
+        .when(F.startswith(value_kind, F.lit(f"OBJECT<`{_NAN_KEY}`")), F.lit(float("nan")))
         .when(
             value_kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double")
         )

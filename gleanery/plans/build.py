@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -28,6 +29,18 @@ from gleanery.sources.sinks import write_audit, write_review_queue, write_table
 Extractor = Callable[[DataFrame], DataFrame]
 
 
+@contextmanager
+def repeated_keys_allowed(spark: SparkSession) -> Iterator[None]:
+    """Let the last of repeated keys in a JSON object win, instead of failing the payload."""
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def run_date_column(run_date: date | str) -> Column:
     """ISO text of the day the run stands for."""
     return F.lit(run_date.isoformat() if isinstance(run_date, date) else run_date)
@@ -108,7 +121,8 @@ def build(
         given = given.withColumn("first_pos", F.lit(0).cast("bigint"))
     given = given.select("source_id", "first_pos", "payload")
 
-    typed = stage(raw_records(given, source_hints(pages), day), folder, "raw")
+    with repeated_keys_allowed(registry.sparkSession):
+        typed = stage(raw_records(given, source_hints(pages), day), folder, "raw")
     records = answering.accepted(typed)
     table = stage(curate(records, day, defaults), folder, "table")
     if link_status is not None and check_links != 0:

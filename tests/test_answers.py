@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import coercion
 from gleanery.operators import answers
-from gleanery.plans.build import raw_records, run_date_column
+from gleanery.plans.build import raw_records, repeated_keys_allowed, run_date_column
 
 HINTS = "source_id long, source_ord long, final_url string, hint struct<url string, level string, state string, county string, city string, utility string>"
 
@@ -123,6 +123,29 @@ def test_only_whole_json_is_read(evaluate):
     assert read == [True] * len(good) + [False] * len(bad)
 
 
+def test_bare_nan_and_infinity_are_numbers(spark):
+    body = (
+        '{"programs":[{"program_name":"NaN \\" Infinity","amount_value":NaN,"amount_max":-Infinity,'
+        '"income_limit_pct_ami":Infinity},{"program_name":NaN},{"program_name":"x","confidence_score":NaN}]}'
+    )
+    assert json.loads(body)["programs"][0]["program_name"] == 'NaN " Infinity'
+    hints = spark.createDataFrame([(1, 0, "u", ("u", "city", "FL", "", "", ""))], HINTS)
+    given = spark.createDataFrame([(1, 0, body)], "source_id long, first_pos long, payload string")
+    first, second, third = raw_records(given, hints, run_date_column("2026-02-01")).orderBy("rec_ord").collect()
+    assert first.program_name == 'NaN " Infinity' and first.reject_reasons == []
+    assert first.amount_value != first.amount_value
+    assert (first.amount_max, first.income_limit_pct_ami) == (float("-inf"), float("inf"))
+    assert second.reject_reasons == ["program_name"]
+    assert third.reject_reasons == ["confidence_score"]
+
+
+def test_last_of_repeated_keys_wins(spark):
+    given = spark.createDataFrame([('{"programs":[],"programs":[{"a":1,"a":2}]}',)], "payload string")
+    with repeated_keys_allowed(spark):
+        (row,) = answers.explode_programs(given, keep=[]).selectExpr("variant_get(entry, '$.a', 'int') a").collect()
+    assert row.a == 2
+
+
 def test_payloads_without_a_list_give_no_rows(spark):
     payloads = ["[1]", '{"programs": {"a": 1}}', '{"programs": null}', "{}", "", "oops", '{"programs": "x"}']
     given = spark.createDataFrame([(p,) for p in payloads], "payload string")
