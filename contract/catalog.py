@@ -343,8 +343,7 @@ def _(spark, sf):
     def known(column: Column, words: list[str]) -> Column:
         as_json = F.to_variant_object(F.struct(column.alias("w")))
         value = F.try_variant_get(as_json, "$.w", "variant")
-        word, _ = coercion.read_word(value, coercion.kind(value), words)
-        return word.isNotNull()
+        return coercion.read_word(value, coercion.kind(value), words).isNotNull()
 
     # Wrong case and padding are not in the vocabulary.
     level = F.when(place % 3 == 1, F.upper("level")).otherwise(F.col("level"))

@@ -1,8 +1,7 @@
 """Typed reading of JSON values with lax rules, as Column functions over VARIANT.
 
-Each reader returns ``(value, ok)``: ``ok`` is false where the value must reject its
-record. A missing key or JSON null gives a null value that is acceptable; callers
-that need a value check for it.
+Each reader gives null for a value it does not accept, and for a missing key and JSON
+null; ``is_missing`` tells these apart.
 """
 
 from __future__ import annotations
@@ -91,24 +90,21 @@ def is_falsy(value: Column, value_kind: Column) -> Column:
     )
 
 
-def read_string(value: Column, value_kind: Column) -> tuple[Column, Column]:
+def read_string(value: Column, value_kind: Column) -> Column:
     """Strings only, trimmed."""
-    is_string = value_kind == "STRING"
-    text = F.when(is_string, strip_field(F.try_variant_get(value, "$", "string")))
-    return text, is_missing(value) | is_string
+    return F.when(value_kind == "STRING", strip_field(F.try_variant_get(value, "$", "string")))
 
 
-def read_word(value: Column, value_kind: Column, words: list[str]) -> tuple[Column, Column]:
+def read_word(value: Column, value_kind: Column, words: list[str]) -> Column:
     """Exactly one of the words."""
-    text = F.when(value_kind == "STRING", F.try_variant_get(value, "$", "string"))
-    known = F.coalesce(text.isin(*words), F.lit(False))
-    return F.when(known, text), is_missing(value) | known
+    text = F.try_variant_get(value, "$", "string")
+    return F.when((value_kind == "STRING") & text.isin(*words), text)
 
 
-def read_double(value: Column, value_kind: Column) -> tuple[Column, Column]:
+def read_double(value: Column, value_kind: Column) -> Column:
     """Numbers, booleans as 1 and 0, and strings holding a number."""
     text = strip_field(F.try_variant_get(value, "$", "string"))
-    number = (
+    return (
         F.when(
             F.rlike(value_kind, F.lit(_NUMBER_KIND)), F.try_variant_get(value, "$", "double")
         )
@@ -121,14 +117,13 @@ def read_double(value: Column, value_kind: Column) -> tuple[Column, Column]:
             F.replace(text, F.lit("_"), F.lit("")).try_cast("double"),
         )
     )
-    return number, is_missing(value) | number.isNotNull()
 
 
-def read_boolean(value: Column, value_kind: Column) -> tuple[Column, Column]:
+def read_boolean(value: Column, value_kind: Column) -> Column:
     """Booleans, the numbers 0 and 1, and the usual words in any case, untrimmed."""
     number = F.try_variant_get(value, "$", "double")
     word = F.lower(F.try_variant_get(value, "$", "string"))
-    flag = (
+    return (
         F.when(value_kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
         .when(
             F.rlike(value_kind, F.lit(_NUMBER_KIND)),
@@ -141,18 +136,11 @@ def read_boolean(value: Column, value_kind: Column) -> tuple[Column, Column]:
             ),
         )
     )
-    return flag, is_missing(value) | flag.isNotNull()
 
 
-def read_strings(value: Column, value_kind: Column) -> tuple[Column, Column]:
-    """Lists holding only strings, each trimmed; missing and null give an empty list."""
-    items = F.when(
-        F.startswith(value_kind, F.lit("ARRAY")), F.try_variant_get(value, "$", "array<variant>")
-    )
-    only_strings = F.forall(
-        items, lambda item: F.coalesce(F.schema_of_variant(item) == "STRING", F.lit(False))
-    )
+def read_strings(value: Column, value_kind: Column) -> Column:
+    """Lists holding only strings, each trimmed."""
+    items = F.try_variant_get(value, "$", "array<variant>")
+    only_strings = F.forall(items, lambda item: F.schema_of_variant(item) == "STRING")
     texts = F.transform(items, lambda item: strip_field(F.try_variant_get(item, "$", "string")))
-    ok = F.coalesce(only_strings, F.lit(False))
-    empty = F.array().cast("array<string>")
-    return F.when(ok, texts).otherwise(empty), is_missing(value) | ok
+    return F.when(F.startswith(value_kind, F.lit("ARRAY")) & only_strings, texts)

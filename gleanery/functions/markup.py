@@ -60,11 +60,9 @@ def _entity_piece(piece: Column) -> Column:
     """Decode the reference a piece starts with; the piece had followed an ampersand."""
     head = F.regexp_extract(piece, _ENTITY_HEAD, 0)
     name = F.regexp_extract(piece, _ENTITY_HEAD, 1)
-    named = F.create_map(
-        *[F.lit(x) for pair in sorted(name2codepoint.items()) for x in (pair[0], chr(pair[1]))],
-        F.lit("apos"),
-        F.lit("'"),
-    )
+    pairs = {"apos": ord("'"), **name2codepoint}.items()
+    listed = "\x01".join(f"{entity}\x02{chr(point)}" for entity, point in pairs)
+    named = F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
     hexadecimal = F.conv(F.substring(name, 3, 12), 16, 10).try_cast("bigint")
     decimal = F.substring(name, 2, 12).try_cast("bigint")
     character = (

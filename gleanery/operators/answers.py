@@ -12,7 +12,7 @@ from gleanery.schema import LIST_COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, RAW_FIELDS
 
 #: Raw field -> registry column whose value stands in where the answer's is falsy.
 _FALSY_HINTS = {"county": "county", "city": "city", "utility_provider": "utility"}
-_NOT_NULL = {"program_name", "source_url", "active"}
+_NOT_NULL = ["program_name", "source_url", "active"]
 
 
 def explode_programs(answers: DataFrame, *, keep: list[str]) -> DataFrame:
@@ -32,12 +32,8 @@ def explode_programs(answers: DataFrame, *, keep: list[str]) -> DataFrame:
     )
 
 
-def _field(entry: Column, name: str) -> Column:
-    return F.try_variant_get(entry, f"$.{name}", "variant")
-
-
-def _read(name: str) -> tuple[Column, Column]:
-    """Typed value of a field and whether it is acceptable, before hints."""
+def _read(name: str) -> Column:
+    """Typed value of a field, null where the answer's value is not accepted."""
     value, value_kind = F.col(f"raw.{name}"), F.col(f"kind.{name}")
     if name in VOCABULARY:
         return coercion.read_word(value, value_kind, VOCABULARY[name])
@@ -61,54 +57,73 @@ def _absent_hints(run_date: Column) -> dict[str, Column]:
     }
 
 
-def type_records(entries: DataFrame, run_date: Column) -> DataFrame:
-    """Typed raw records with ``reject_reasons``, empty for the ones to keep.
-
-    Expects ``entry`` (an object VARIANT), ``final_url`` and ``hint``, a struct with the
-    source's url, level, state, county, city and utility.
-    """
-    names = [n for n in RAW_COLUMNS if n != "extraction_source"]
-    raw = F.struct(*[_field(F.col("entry"), n).alias(n) for n in names])
-    kinds = F.struct(*[coercion.kind(F.col(f"raw.{n}")).alias(n) for n in names])
-    staged = entries.withColumn("raw", raw).withColumn("kind", kinds)
-
+def _values(names: list[str], run_date: Column) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Typed values with hints in place, and where there was nothing to read."""
     absent = _absent_hints(run_date)
-    values: dict[str, Column] = {}
-    checks: dict[str, Column] = {}
+    values, missing = {}, {}
     for name in names:
-        value, ok = _read(name)
-        source = F.col(f"raw.{name}")
+        value, given = _read(name), F.col(f"raw.{name}")
+        nothing = given.isNull() | (F.col(f"kind.{name}") == "VOID")
         if name in absent:
             hint = absent[name]
-            typed = hint
-            if name in VOCABULARY:
-                known = hint.isin(*VOCABULARY[name])
-                ok = F.when(source.isNull(), hint.isNull() | known).otherwise(ok)
-                typed = F.when(known, hint)
-            value = F.when(source.isNull(), strip_field(typed)).otherwise(value)
+            known = F.when(hint.isin(*VOCABULARY[name]), hint) if name in VOCABULARY else hint
+            value = F.when(given.isNull(), strip_field(known)).otherwise(value)
+            nothing = F.when(given.isNull(), hint.isNull()).otherwise(nothing)
         elif name in _FALSY_HINTS:
             hint = F.col(f"hint.{_FALSY_HINTS[name]}")
-            use = coercion.is_falsy(source, F.col(f"kind.{name}")) & has_text(hint)
+            use = coercion.is_falsy(given, F.col(f"kind.{name}")) & has_text(hint)
             value = F.when(use, strip_field(hint)).otherwise(value)
-            ok = use | ok
         elif name == "active":
-            value = F.when(source.isNull(), F.lit(True)).otherwise(value)
-        elif name == "confidence_score":
-            # NaN sorts above every number, so it fails the upper bound as it should.
-            ok = ok & (value.isNull() | value.between(0.0, 1.0))
+            value = F.when(given.isNull(), F.lit(True)).otherwise(value)
         elif name == "program_name":
             value = strip_space(value)
-            ok = ok & (F.coalesce(value, F.lit("")) != "")
-        if name in _NOT_NULL:
-            ok = ok & value.isNotNull()
-        values[name], checks[name] = value, ok
-    values["extraction_source"] = F.lit("llm")
-
-    reasons = F.array_compact(
-        F.array(*[F.when(~checks[n], F.lit(n)) for n in names])
-    ).alias("reject_reasons")
+        values[name], missing[name] = value, nothing
+    return values, missing
+
+
+def _fault(name: str) -> Column:
+    """Whether a field of the typed record must reject it."""
+    value = F.col(name)
+    if name in _NOT_NULL:
+        fault = value.isNull()
+        return fault | (value == "") if name == "program_name" else fault
+    unread = value.isNull() & ~F.col(f"missing.{name}")
+    # NaN sorts above every number, so it fails the upper bound as it should.
+    return unread | ~value.between(0.0, 1.0) if name == "confidence_score" else unread
+
+
+def type_records(entries: DataFrame, run_date: Column) -> DataFrame:
+    """Typed raw records with ``reject_reasons``, empty for the ones to keep.
+
+    Expects ``entry`` (an object VARIANT), ``final_url`` and ``hint``, a struct with the
+    source's url, level, state, county, city and utility.
+    """
+    names = [n for n in RAW_COLUMNS if n != "extraction_source"]
     keep = [c for c in entries.columns if c not in ("entry", "hint")]
-    return staged.select(*keep, *[values[n].alias(n) for n in RAW_COLUMNS], reasons)
+    # One pass over the object's keys; missing ones give null, JSON null stays a value.
+    fields = ", ".join(f"{n}: variant" for n in names)
+    raw = F.try_variant_get("entry", "$", f"struct<{fields}>")
+    kinds = F.struct(*[coercion.kind(F.col(f"raw.{n}")).alias(n) for n in names])
+    values, missing = _values(names, run_date)
+    typed = (
+        entries.withColumn("raw", raw)
+        .withColumn("kind", kinds)
+        .select(
+            *keep,
+            *[values[n].alias(n) for n in names],
+            F.struct(*[missing[n].alias(n) for n in names]).alias("missing"),
+        )
+    )
+    reasons = F.array_compact(F.array(*[F.when(_fault(n), F.lit(n)) for n in names]))
+    lists = {
+        n: F.coalesce(n, F.array().cast(RAW_FIELDS[n])).alias(n) for n in LIST_COLUMNS
+    }
+    return typed.select(
+        *keep,
+        *[lists.get(n, F.col(n)) for n in names],
+        F.lit("llm").alias("extraction_source"),
+        reasons.alias("reject_reasons"),
+    )
 
 
 def accepted(typed: DataFrame) -> DataFrame:
