@@ -71,8 +71,9 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 def read_table(spark: SparkSession, path: str, *, include_source: bool = False) -> DataFrame:
     """A written table by position, each row with its number ``row_index`` from 0.
 
-    Rows are numbered per file, files by name; the only window runs over one row per
-    file. A file is read whole by one task, so positions in it are consecutive.
+    Rows are numbered per file, files by the numbers in their names; the only window runs
+    over one row per file. A file is read whole by one task, so positions in it are
+    consecutive.
     """
     names = [*TABLE_COLUMNS, *([PROVENANCE_COLUMN] if include_source else [])]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -89,8 +90,12 @@ def read_table(spark: SparkSession, path: str, *, include_source: bool = False)
     files = rows.groupBy("file_name").agg(
         F.count("*").alias("rows"), F.min("row_id").alias("first_id")
     )
+    numbers = [
+        F.regexp_extract("file_name", pattern, 1).try_cast("int")
+        for pattern in (r"^part-(\d+)", r"c(\d+)\.csv")
+    ]
     before = F.sum("rows").over(
-        Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+        Window.orderBy(*numbers, "file_name").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = files.select(
         "file_name", "first_id", F.coalesce(before, F.lit(0)).alias("rows_before")

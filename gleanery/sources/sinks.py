@@ -21,6 +21,8 @@ _CSV = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    # A file is read back whole by one task.
+    "maxRecordsPerFile": 1_000_000,
 }
 
 

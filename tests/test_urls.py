@@ -12,8 +12,8 @@ ADDRESSES = [
     "https://example.com/path",
     "HTTP://Example.com",
     "  https://a.b/c  ",
-    "ftp://example.com",
-    "not a url",
+    "ftp://files.example",
+    "call the office",
     "https://",
     "https:///x",
     "http://user@host:80/x?y#z",
@@ -42,7 +42,7 @@ def test_authority_like_netloc(evaluate):
 
 def test_coerce(evaluate):
     cases = {
-        "RebuildingForTomorrow.HCFL.gov": "https://RebuildingForTomorrow.HCFL.gov",
+        "Roofs.Lake.example": "https://Roofs.Lake.example",
         "example.com/apply now": None,
         "/relative.html": None,
         "a.b": None,
@@ -59,9 +59,9 @@ def test_coerce(evaluate):
 
 def test_resolve_prefers_application(spark):
     rows = [
-        ("https://apply.example.com", "https://source.example.com", "https://apply.example.com"),
-        ("not a url", "https://source.example.com", "https://source.example.com"),
-        ("/relative/path", "https://irs.gov/credits", "https://irs.gov/credits"),
+        ("https://forms.lake.example/a", "https://lake.example/p", "https://forms.lake.example/a"),
+        ("call the office", "https://lake.example/p", "https://lake.example/p"),
+        ("/forms/a.pdf", "lake.example/p", "https://lake.example/p"),
         (None, " plain text ", "plain text"),
         (None, None, ""),
     ]
