@@ -76,6 +76,14 @@ def _pages(spark, sf):
     return stage(fx.pages(spark, sf), shared_folder(spark), "pages")
 
 
+
+def _typed(spark, sf, pages=None):
+    """Typed records of the answers, written once before any filter like a build does."""
+    hints = build.source_hints(pages or _pages(spark, sf))
+    typed = build.raw_records(fx.answers(spark, sf), hints, fx.run_date())
+    return stage(typed, shared_folder(spark), "raw")
+
+
 # --- scans and sinks ------------------------------------------------------------------
 
 _REGISTRY_COLUMNS = (
@@ -185,8 +193,7 @@ def _(spark, sf):
 def _audit(spark, sf):
     """Pages read, and the accepted records of their answers, counted."""
     pages = _pages(spark, sf)
-    typed = build.raw_records(fx.answers(spark, sf), build.source_hints(pages), fx.run_date())
-    return audit.audit(pages, answering.accepted(typed))
+    return audit.audit(pages, answering.accepted(_typed(spark, sf, pages)))
 
 
 _AUDIT = f"""{q.RAW}, {q.PAGES}, {q.ANSWERED},
@@ -263,12 +270,6 @@ def _(spark, sf):
     return documents.filter(captures.worth_extracting(F.col("text"))).select("doc_id")
 
 
-def _entries(spark, sf):
-    """Object entries of the answers, joined with what their source gives them."""
-    hints = build.source_hints(_pages(spark, sf))
-    return fx.answers(spark, sf), hints
-
-
 @query(
     "b04_object_entries",
     f"""WITH {q.EV} SELECT event_id % (SELECT count(*) FROM pages) AS source_id,
@@ -282,11 +283,6 @@ def _(spark, sf):
     return entries.select("source_id", (F.col("first_pos") + F.col("pos")).alias("rec_ord"))
 
 
-def _typed(spark, sf):
-    answers, hints = _entries(spark, sf)
-    return build.raw_records(answers, hints, fx.run_date())
-
-
 @query(
     "b05_row_validity",
     f"""WITH {q.RAW}, {q.PAGES}, {q.ANSWERED}

@@ -127,7 +127,11 @@ def type_records(entries: DataFrame, run_date: Column) -> DataFrame:
 
 
 def accepted(typed: DataFrame) -> DataFrame:
-    """Raw records without a reason to reject them."""
+    """Raw records without a reason to reject them.
+
+    Meant for typed records that have been written: pushed below their typing, the filter
+    would do it twice.
+    """
     return typed.filter(F.size("reject_reasons") == 0).drop("reject_reasons")
 
 
