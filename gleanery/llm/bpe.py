@@ -208,20 +208,12 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids")
     are; a column already named ``ids`` is replaced. Repeated rows stay repeated.
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
-    kept = [c for c in df.columns if c != ids]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], common.whole(f"`{text}`").alias("__whole"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(
-        *[F.col(f"`{c}`") for c in kept]).schema)
 
-    def run(batches):
+    def run(texts):
         tool = codec(shared.value)
-        for batch in common.slices(batches):
-            packed = [tool.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            columns = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*columns, _lists(packed)], [*kept, ids])
+        return _lists([tool.encode(t) for t in texts])
 
-    common.prepare(df.sparkSession)
-    return source.mapInArrow(run, f"{fields}{', ' if fields else ''}`{ids}` array<int>")
+    return common.append_column(df, run, common.whole(text), ids, "array<int>")
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -230,19 +222,12 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
     Bytes that are not UTF-8 become the replacement character.
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
-    kept = [c for c in df.columns if c != text]
-    place = kept.index(ids)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text)
 
-    def run(batches):
+    def run(lists):
         tool = codec(shared.value)
-        for batch in common.slices(batches):
-            lists = batch.column(place).to_pylist()
-            spelt = common.strings([tool.decode(x) if x else "" for x in lists])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), spelt], [*kept, text])
+        return common.strings([tool.decode(x) if x else "" for x in lists])
 
-    common.prepare(df.sparkSession)
-    return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, f"{fields}, `{text}` string")
+    return common.append_column(df, run, F.col(f"`{ids}`"), text, "string")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

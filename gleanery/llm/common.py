@@ -73,6 +73,50 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def append_column(
+    df: DataFrame, function: Callable[[list], pa.Array], source: Column, name: str, kind: str
+) -> DataFrame:
+    """``df`` with a column made from ``source`` by Arrow slices; the rest passes through.
+
+    A column of that name is replaced. ``function`` gets the source's values as a list.
+    """
+    prepare(df.sparkSession)
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()]
+    given = fresh(df, "given")
+    frame = df.select(*kept, source.alias(given))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema[:-1]]
+    names = [*frame.columns[:-1], name]
+
+    def run(batches):
+        for batch in slices(batches):
+            made = function(batch.column(batch.num_columns - 1).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names)
+
+    return frame.mapInArrow(run, ", ".join([*fields, f"`{name}` {kind}"]))
+
+
+def keep_rows(df: DataFrame, function: Callable[[list], list[bool]], source: Column) -> DataFrame:
+    """The rows of ``df`` for which ``function`` says so of ``source``'s values."""
+    prepare(df.sparkSession)
+    frame = df.select(*[F.col(f"`{c}`") for c in df.columns], source.alias(fresh(df, "given")))
+
+    def run(batches):
+        for batch in slices(batches):
+            stays = function(batch.column(batch.num_columns - 1).to_pylist())
+            own = pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1])
+            yield own.filter(pa.array(stays, pa.bool_()))
+
+    return frame.mapInArrow(run, df.schema)
+
+
 def strings(values: list[str]) -> pa.Array:
     return pa.array(values, pa.string())
 
