@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, simhash, toxicity
+from gleanery.llm import bpe, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
     "op7_bpe": bpe.op7_bpe,
+    "op9_secrets": secrets.op9_secrets,
 }
 
 ORACLES: dict[str, str] = {}
