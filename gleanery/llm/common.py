@@ -82,11 +82,17 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def append_column(
-    df: DataFrame, function: Callable[[list], pa.Array], source: Column, name: str, kind: str
+    df: DataFrame,
+    function: Callable[[list], pa.Array],
+    source: Column,
+    name: str,
+    kind: str,
+    as_list: bool = True,
 ) -> DataFrame:
     """``df`` with a column made from ``source`` by Arrow slices; the rest passes through.
 
-    A column of that name is replaced. ``function`` gets the source's values as a list.
+    A column of that name is replaced. ``function`` gets the source's values as a list, or
+    as an Arrow array.
     """
     prepare(df.sparkSession)
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()]
@@ -97,7 +103,8 @@ def append_column(
 
     def run(batches):
         for batch in slices(batches):
-            made = function(batch.column(batch.num_columns - 1).to_pylist())
+            given = batch.column(batch.num_columns - 1)
+            made = function(given.to_pylist() if as_list else given)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names)
 
     return frame.mapInArrow(run, ", ".join([*fields, f"`{name}` {kind}"]))
@@ -117,6 +124,13 @@ def keep_rows(df: DataFrame, function: Callable[[list], list[bool]], source: Col
     return frame.mapInArrow(run, df.schema)
 
 
+def lists_of(array: pa.Array) -> Iterator[list]:
+    """The lists of a list array of numbers, nulls as empty ones."""
+    offsets, values = array.offsets.to_numpy(), array.values.to_numpy(zero_copy_only=False)
+    for i, there in enumerate(array.is_valid().to_pylist()):
+        yield values[offsets[i] : offsets[i + 1]].tolist() if there else []
+
+
 def strings(values: list[str]) -> pa.Array:
     return pa.array(values, pa.string())
 
