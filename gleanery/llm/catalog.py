@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, mixing, packing, secrets, simhash, toxicity
+from gleanery.llm import bpe, mixing, packing, resampling, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
     "op5_packing": packing.op5_packing,
+    "op6_resampling": resampling.op6_resampling,
     "op7_bpe": bpe.op7_bpe,
     "op9_secrets": secrets.op9_secrets,
 }
