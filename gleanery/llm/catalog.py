@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, mixing, packing, resampling, secrets, simhash, toxicity
+from gleanery.llm import bpe, counting, mixing, packing, resampling, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_resampling": resampling.op6_resampling,
     "op7_bpe": bpe.op7_bpe,
     "op9_secrets": secrets.op9_secrets,
+    "op10_edit_counts": counting.op10_edit_counts,
 }
 
 ORACLES: dict[str, str] = {}
