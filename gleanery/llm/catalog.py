@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, counting, mixing, packing, resampling, secrets, simhash, toxicity
+from gleanery.llm import bpe, counting, imatch, mixing, packing, resampling, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_fingerprints": imatch.op2_fingerprints,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash": simhash.op4_simhash,
     "op5_packing": packing.op5_packing,
