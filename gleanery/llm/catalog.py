@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import bpe, counting, imatch, mixing, packing, resampling, secrets, simhash, toxicity
+from gleanery.llm import bpe, counting, imatch, mixing, packing, resampling, secrets, simhash, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,8 +16,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": packing.op5_packing,
     "op6_resampling": resampling.op6_resampling,
     "op7_bpe": bpe.op7_bpe,
+    "op8_top_k": topk.op8_top_k,
     "op9_secrets": secrets.op9_secrets,
     "op10_edit_counts": counting.op10_edit_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_top_k": topk.TOP_K_SQL,
+}
