@@ -228,7 +228,7 @@ def learn(
     )
     weights = base | {r.term: r.weight for r in found.select("term", "weight").collect()}
     fitted = common.map_batches(rows, _features(Model(weights, exceptions)), "total double, density double, label boolean")
-    values = fitted.orderBy("total", "density", "label").toPandas()
+    values = fitted.toPandas().sort_values(["total", "density", "label"])  # sums don't depend on tasks
     bias, total, density = _logistic(
         values[["total", "density"]].to_numpy(float), values["label"].to_numpy(float)
     )
