@@ -2,8 +2,8 @@
 
 Folding is letter by letter, so positions stay those of the text: lower case, letters that
 look like Latin ones, full-width forms, and digits or signs standing for letters. An entry
-is a whole word or, ending in ``*``, the start of words. Hits inside an exception phrase do
-not count. A word counts once, with its heaviest entry. The sum of weights and that sum for
+is a whole word or, ending in ``*``, the start of words or, ending in ``+``, a stem with an
+ending of up to ``ENDING_CHARS`` letters. Hits inside an exception phrase do not count. A word counts once, with its heaviest entry. The sum of weights and that sum for
 each word of the text enter a logistic model.
 
 Weights are learned from labelled texts, a bounded sample of them: the log odds of a word,
@@ -30,7 +30,9 @@ from gleanery.llm import common
 #: Labelled texts that the lexicon and the model are fitted on, at most.
 LEARN_ROWS = 8000
 #: Lengths of word starts that may become entries.
-START_CHARS = (4, 5, 6)
+START_CHARS = (3, 4, 5, 6, 7, 8)
+#: Longest ending of a stem.
+ENDING_CHARS = 5
 #: Entries need this log odds, and this many toxic texts.
 LEAST_ODDS = 3.0
 LEAST_TOXIC = 3
@@ -92,11 +94,12 @@ class Matcher:
         self.search = ahocorasick.Automaton()
         entries: dict[str, list] = {}
         for entry, weight in model.weights.items():
-            word = fold(entry.removesuffix("*"))
+            tail = {"*": None, "+": ENDING_CHARS}.get(entry[-1:], 0)
+            word = fold(entry if tail == 0 else entry[:-1])
             if word:
-                entries.setdefault(word, []).append((weight, not entry.endswith("*")))
+                entries.setdefault(word, []).append((weight, tail))
         for phrase in model.exceptions:
-            entries.setdefault(fold(phrase), []).append((None, True))
+            entries.setdefault(fold(phrase), []).append((None, 0))
         for word, uses in entries.items():
             self.search.add_word(word, (len(word), tuple(uses)))
         self.empty = not entries
@@ -113,9 +116,11 @@ class Matcher:
             start, stop = end + 1 - size, end + 1
             if start and folded[start - 1].isalnum():
                 continue
-            closed = stop == last or not folded[stop].isalnum()
-            for weight, whole in uses:
-                if whole and not closed:
+            more = 0  # letters up to the word's end, as far as they matter
+            while more <= ENDING_CHARS and stop + more < last and folded[stop + more].isalnum():
+                more += 1
+            for weight, tail in uses:
+                if tail is not None and more > tail:
                     continue
                 if weight is None:
                     excused.append((start, stop))
@@ -142,7 +147,8 @@ class Matcher:
 def _terms(text: str) -> set[str]:
     words = set(_WORD.findall(fold(text)))
     starts = {f"{w[:n]}*" for w in words for n in START_CHARS if len(w) >= n}
-    return words | starts
+    stems = {f"{w[:n]}+" for w in words for n in START_CHARS if n <= len(w) <= n + ENDING_CHARS}
+    return words | starts | stems
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -212,11 +218,11 @@ def learn(
     evidence = F.col("toxic") * F.log(part / share) + F.col("other") * F.when(
         F.col("other") > 0, F.log((1 - part) / (1 - share))
     ).otherwise(0.0)
-    kind = F.when(F.col("term").endswith("*"), F.length("term")).otherwise(0)
+    kind = F.when(F.col("term").rlike("[*+]$"), F.concat(F.right("term", F.lit(1)), F.length("term")))
     tried = common.stage(
         _counted(rows)
         .where(F.col("toxic") >= LEAST_TOXIC)
-        .select("term", kind.alias("kind"), own.alias("weight"), evidence.alias("evidence")),
+        .select("term", F.coalesce(kind, F.lit("")).alias("kind"), own.alias("weight"), evidence.alias("evidence")),
         "terms",
     )
     chance = tried.groupBy("kind").agg((F.log(F.count("*")) + MARGIN).alias("least"))  # a row for each kind

@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleanery.llm import common, toxicity
+
+from messy_rows import MESSY
+
+
+def hits(text, *entries):
+    matcher = toxicity.Matcher(toxicity.Model(dict.fromkeys(entries, 2.0)))
+    return [text[a:b] for a, b, _ in matcher.hits(text)]
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("You IDIOT!", ["IDIOT"]),
+        ("such an 1d10t.", ["1d10t"]),
+        ("ｉｄｉｏｔ and іdiоt", ["ｉｄｉｏｔ", "іdiоt"]),
+        ("idiots", ["idiot"]),
+        ("videidiot idiotic", ["idiot"]),
+        ("tra$h and trash$$$ and trashy", ["tra$h", "trash"]),
+        ("a trash can, some trash", ["trash"]),
+        ("", []),
+        ("İdiot", ["İdiot"]),
+    ],
+)
+def test_folding_bounds_and_exceptions(text, found):
+    assert hits(text, "idiot*", "trash") == found
+
+
+def test_a_word_counts_once_with_its_heaviest_entry():
+    matcher = toxicity.Matcher(toxicity.Model({"scum": 3.0, "scum*": 2.0, "scumb*": 5.0}))
+    assert matcher.hits("scum scumbag") == [(0, 4, 3.0), (5, 10, 5.0)]
+
+
+def test_longer_texts_with_the_same_hits_score_lower():
+    matcher = toxicity.Matcher(toxicity.Model({"idiot": 3.0}))
+    short, long = "an idiot", "an idiot" + " and so on" * 500
+    assert matcher.score(short) > matcher.score(long) > matcher.score("and so on")
+
+
+def test_held_out_labels_are_predicted_and_never_learned_from(spark):
+    """At sf0.1: 120 held-out toxic texts, some with words that few others have."""
+    sf = "/root/testdata/sf0.1"
+    labels = common.table(spark, sf, "labels")
+    scored = toxicity.op3_toxicity(spark, sf).cache()
+    assert scored.columns == ["doc_id", "held_out", "score", "predicted"]
+    assert scored.count() == common.table(spark, sf, "documents").count()
+    counts = {
+        (r.toxic, r.predicted): r["count"]
+        for r in scored.where("held_out").join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
+    }
+    hit, missed = counts.get((1, 1), 0), counts.get((1, 0), 0)
+    assert hit / (hit + missed) > 0.9
+    assert counts.get((0, 1), 0) <= 0.02 * counts[0, 0]
+    flipped = labels.withColumn(
+        "toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic"))
+    )
+    documents = common.table(spark, sf, "documents")
+    a, b = (toxicity.learn(documents, x, ~toxicity.held_out(), most=500) for x in (labels, flipped))
+    assert a == b
+
+
+def test_messy_rows(spark, messy, empty):
+    labels = spark.createDataFrame([(1, 1), (5, 0), (6, None), (None, 1), (1, 1)], "doc_id long, toxic int")
+    model = toxicity.learn(messy, labels, F.lit(True))
+    rows = toxicity.scores(messy, model).collect()
+    assert len(rows) == len(MESSY)
+    assert all(0 <= r.score <= 1 for r in rows)
+    scores = {r.doc_id: r.score for r in rows}
+    assert scores[2] == scores[3] == scores[7] < scores[1]
+    kept = toxicity.accepted(messy, model)
+    assert kept.columns == messy.columns and kept.count() == len(MESSY) - 2
+    none = toxicity.learn(empty, spark.createDataFrame([], labels.schema), F.lit(True))
+    assert toxicity.scores(empty, none).collect() == []
+    assert toxicity.scores(messy, none).where("score >= 0.3").count() == 2
