@@ -9,6 +9,7 @@ proportion to the weights.
 
 from __future__ import annotations
 
+from math import isfinite
 from zlib import crc32
 
 import numpy as np
@@ -116,8 +117,14 @@ def cut(df: DataFrame, key: str, k: int) -> float | None:
         return None
     above = 0  # values over ``high``
     while low < high:
-        width = (high - low) / BINS
-        number = F.least(F.floor((F.col("key") - F.lit(low)) / F.lit(width)), F.lit(BINS - 1))
+        if isfinite(high - low):
+            width, offset = (high - low) / BINS, F.col("key") - F.lit(low)
+        else:
+            width, offset = 1.0, (F.col("key") / 2 - F.lit(low / 2)) * (BINS / (high / 2 - low / 2))
+        if width:
+            number = F.least(F.floor(offset / F.lit(width)), F.lit(BINS - 1))
+        else:  # a few of the smallest numbers: the ends, and what lies between
+            number = F.when(F.col("key") == low, 0).when(F.col("key") == high, 2).otherwise(1)
         inside = own.where(F.col("key").between(low, high))
         bins = inside.groupBy(number.alias("bin")).agg(
             F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")

@@ -30,7 +30,7 @@ def test_weights_are_ratios_of_smoothed_frequencies(spark, sf_dir, texts):
 
 
 def test_cut_is_the_kth_largest(spark):
-    values = [3.0, 3.0, 3.0, -1e300, 1e300, 0.0, -0.0, 5e-324, 2.5, None, float("nan"), 7.25] + [0.5] * 20
+    values = [3.0, 3.0, 3.0, -1.7e308, 1.7e308, 0.0, -0.0, 5e-324, 2.5, None, float("nan"), 7.25] + [0.5] * 20
     frame = spark.createDataFrame([(v,) for v in values], "key double")
     ordered = sorted((v for v in values if v is not None and v == v), reverse=True)
     for k in range(1, len(ordered) + 1):

@@ -21,7 +21,8 @@ def plain(rows, k):
     out = {}
     for q in sorted({i for i, _ in usable if i % 20 == 0}):
         weights = min(v for i, v in usable if i == q)
-        scores = [(-sum(a * b for a, b in zip(weights, v)), i) for i, v in usable if i != q and len(v) == len(weights)]
+        ends = 2**63 - 1  # sums beyond 64 bits are moved to the ends
+        scores = [(-max(-ends, min(ends, sum(a * b for a, b in zip(weights, v)))), i) for i, v in usable if i != q and len(v) == len(weights)]
         out[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k])]
     return {q: x for q, x in out.items() if x}
 
