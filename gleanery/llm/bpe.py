@@ -35,12 +35,12 @@ ASCII_SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 )
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Lengths of the prefixes whose path is remembered, and how many a worker remembers.
 HEADS = (10, 7, 4)
-REMEMBERED_HEADS = 200_000
+REMEMBERED_HEADS = 60_000
 #: Arcs whose look-up a worker remembers.
-REMEMBERED_ARCS = 1_000_000
+REMEMBERED_ARCS = 400_000
 #: Longest word that is remembered.
 REMEMBERED_CHARS = 64
 

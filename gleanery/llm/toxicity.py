@@ -38,6 +38,8 @@ LEAST_ODDS = 3.0
 LEAST_TOXIC = 3
 #: Three nats: among terms that mean nothing, one entry is expected in twenty lexicons.
 MARGIN = 3.0
+#: Terms whose counts a task holds before it passes them on.
+HELD_TERMS = 100_000
 #: Entries at most, the most evident first.
 MOST_ENTRIES = 20_000
 #: Score from which a text is called toxic.
@@ -155,24 +157,25 @@ def _counted(rows: DataFrame) -> DataFrame:
     """``(term, toxic, other)``: in how many texts of each label it occurs."""
     common.prepare(rows.sparkSession)
 
+    def counted(label, counts):
+        columns = [pa.array([label] * len(counts), pa.bool_()), common.strings([*counts]), common.longs([*counts.values()])]
+        return pa.RecordBatch.from_arrays(columns, ["label", "term", "n"])
+
     def count(batches):
-        toxic, other = Counter(), Counter()
+        counts = {True: Counter(), False: Counter()}
         for batch in common.slices(batches):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (toxic if label else other).update(_terms(text))
-        terms = list(toxic)  # a term that no toxic text has can't be an entry
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.string()), common.longs([toxic[t] for t in terms])], ["term", "n"]
-        )
-        terms = list(other)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.string()), common.longs([-other[t] for t in terms])], ["term", "n"]
-        )
-
-    counts = rows.mapInArrow(count, "term string, n long").groupBy("term")
+                counts[label].update(_terms(text))
+                if len(counts[label]) >= HELD_TERMS:
+                    yield counted(label, counts[label])
+                    counts[label].clear()
+        for label, own in counts.items():
+            yield counted(label, own)
+
+    counts = rows.mapInArrow(count, "label boolean, term string, n long").groupBy("term")
     return counts.agg(
-        F.sum(F.when(F.col("n") > 0, F.col("n")).otherwise(0)).alias("toxic"),
-        F.sum(F.when(F.col("n") < 0, -F.col("n")).otherwise(0)).alias("other"),
+        F.sum(F.when(F.col("label"), F.col("n")).otherwise(0)).alias("toxic"),
+        F.sum(F.when(F.col("label"), 0).otherwise(F.col("n"))).alias("other"),
     )
 
 
