@@ -16,6 +16,8 @@ from gleanery.functions.text import collapse_space
 # --- fixed values: elements whose text is never shown --------------------------------
 RAW_TEXT_ELEMENTS = ["script", "style"]
 HIDDEN_ELEMENTS = ["noscript", "header", "footer", "nav", "template", "rt", "rp"]
+VOID_ELEMENTS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
+                 "param", "source", "track", "wbr"]
 # --- end of fixed values ------------------------------------------------------------
 
 # Every pattern starts with one literal character, which lets the engine skip to it.
@@ -34,11 +36,13 @@ _NO_TEXT = rf"(?is)<(?:{_COMMENT}|{_subtrees(RAW_TEXT_ELEMENTS)})"
 _FLAT = rf"(?is)<(?:{_COMMENT}|{_subtrees(RAW_TEXT_ELEMENTS + HIDDEN_ELEMENTS)})"
 # A hidden element that opens once more before it closes.
 _NESTED = rf"(?is)<({_HIDDEN}){_OPEN}(?:(?!</?\1[\s>]).)*+<\1[\s>]"
-_INNERMOST = rf"(?is)<({_HIDDEN}){_OPEN}(?:(?!</?(?:{_HIDDEN})[\s>]).)*+</\1\s*>"
-_CLOSING = rf"(?i)</(?:{_HIDDEN})\s*>"
-_REST_HIDDEN = rf"(?is)<(?:{_subtrees(HIDDEN_ELEMENTS)})"
-_QUOTED_TAG = r"""/?[a-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
-_TAG = rf"(?is)<(?:{_QUOTED_TAG}|/?[a-z][^>]*(?:>|\z)|[!?][^>]*(?:>|\z))"
+# A hidden element without its closing tag.
+_UNCLOSED = rf"(?is)<({_HIDDEN}){_OPEN}(?!.*?</\1\s*>)"
+# A quote opens a value only after an equals sign; elsewhere it is a character like others.
+_VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_TAG = rf"(?is)<(?:/?[a-z](?:[^>=]++|{_VALUE})*+(?:>|\z)|[!?][^>]*(?:>|\z))"
+_TAG_NAME = r"^<(/?[a-zA-Z][^\s/>]*)"
+_EMPTY_TAG = r"/\s*>$"
 
 # Entities that make up nearly all of a page's references; "amp" must come last.
 _COMMON_ENTITIES = ["lt", "gt", "quot", "nbsp", "middot", "copy", "amp"]
@@ -63,8 +67,11 @@ def _entity_piece(piece: Column) -> Column:
     pairs = {"apos": ord("'"), **name2codepoint}.items()
     listed = "\x01".join(f"{entity}\x02{chr(point)}" for entity, point in pairs)
     named = F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
-    hexadecimal = F.conv(F.substring(name, 3, 12), 16, 10).try_cast("bigint")
-    decimal = F.substring(name, 2, 12).try_cast("bigint")
+    # leading zeros say nothing; what is too long without them is no character
+    digits = F.regexp_replace(name, "^#[xX]?0*", "")
+    short = F.when(F.length(digits) <= 8, digits)
+    hexadecimal = F.conv(short, 16, 10).try_cast("bigint")
+    decimal = short.try_cast("bigint")
     character = (
         F.when(F.rlike(name, F.lit("^#[xX]")), _code_point(hexadecimal))
         .when(F.startswith(name, F.lit("#")), _code_point(decimal))
@@ -100,27 +107,88 @@ def decode_entities(text: Column, has_rare: Column | None = None) -> Column:
     return F.when(rare, _decode_any(text)).otherwise(_decode_common(text))
 
 
-def _drop_nested(html: Column) -> Column:
-    """Remove hidden subtrees from the inside out, one nesting level per step."""
+def _shown_parts(html: Column) -> Column:
+    """Text outside hidden elements, which close as in a tree: with their parent at the latest.
+
+    One walk over the page's tags with a stack of open elements. It keeps where hidden
+    elements begin and end, as numbers of tags, and never copies text.
+    """
     bare = F.regexp_replace(html, _NO_TEXT, " ")
-    peeled = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.regexp_count(html, F.lit(_CLOSING)), F.lit(1))),
-        bare,
-        lambda text, _: F.regexp_replace(text, _INNERMOST, " "),
+    tags = F.regexp_extract_all(bare, F.lit(f"({_TAG})"), F.lit(1))
+    void = F.array(*[F.lit(n) for n in VOID_ELEMENTS])
+    hidden = F.array(*[F.lit(n) for n in HIDDEN_ELEMENTS])
+
+    def opens(tag, i):
+        name = F.lower(F.regexp_extract(tag, _TAG_NAME, 1))
+        empty = F.rlike(tag, F.lit(_EMPTY_TAG)) | F.array_contains(void, name)
+        return F.struct(F.when(~empty, name).otherwise("").alias("name"), i.alias("at"))
+
+    def state(open_, depth, after, shown):
+        return F.struct(
+            open_.alias("open"), depth.alias("depth"), after.alias("after"), shown.alias("shown")
+        )
+
+    def upto(after, last, shown):
+        """``shown`` with the parts from ``after`` to ``last``, counted from 0."""
+        some = F.struct((after + 1).alias("first"), (last - after + 1).alias("parts"))
+        return F.array_append(shown, some)
+
+    # depth: where the element that hides the rest lies on the stack, 0 if none does
+    # after: the first part that is not yet known to be shown; part i precedes tag i
+    start = state(
+        F.array().cast("array<string>"),
+        F.lit(0),
+        F.lit(0),
+        F.array().cast("array<struct<first:int,parts:int>>"),
     )
-    return F.regexp_replace(peeled, _REST_HIDDEN, " ")
+
+    def step(acc, tag):
+        open_, depth, after, shown = (acc[n] for n in ("open", "depth", "after", "shown"))
+        name, at = tag["name"], tag["at"]
+        closes = F.startswith(name, F.lit("/"))
+        back = F.array_position(F.reverse(open_), F.substring(name, 2, 1_000_000))
+        left = (F.size(open_) - back).cast("int")
+        hides = (depth == 0) & F.array_contains(hidden, name)
+        pushed = state(
+            F.array_append(open_, name),
+            F.when(hides, F.size(open_) + 1).otherwise(depth),
+            after,
+            F.when(hides, upto(after, at, shown)).otherwise(shown),
+        )
+        ends = (depth > 0) & (left < depth)
+        popped = state(
+            F.slice(open_, F.lit(1), left),
+            F.when(ends, 0).otherwise(depth),
+            F.when(ends, at + 1).otherwise(after),
+            shown,
+        )
+        return F.when((name == "") | (closes & (back == 0)), acc).when(closes, popped).otherwise(pushed)
+
+    parts = F.split(bare, _TAG)
+    last = F.size(parts) - 1
+
+    def ranges(acc):
+        rest = upto(acc["after"], last, acc["shown"])
+        return F.when(acc["depth"] == 0, rest).otherwise(acc["shown"])
+
+    ranged = F.aggregate(F.transform(tags, opens), start, step, ranges)
+    def joined(parts):
+        pieces = F.transform(ranged, lambda r: F.array_join(F.slice(parts, r["first"], r["parts"]), " "))
+        return F.array_join(pieces, " ")
+
+    # an array of one, so that the page is split once and not for each range
+    return F.element_at(F.transform(F.array(parts), joined), 1)
 
 
 def visible_text(html: Column) -> Column:
     """Text outside hidden elements, tags and comments, whitespace collapsed.
 
     Both choices test the page as it came, not an intermediate text, so that no step
-    is computed twice. Pages where a hidden element nests in its own kind, and pages
-    with rare entities, take a slower way.
+    is computed twice. Pages where a hidden element nests in its own kind or lacks its
+    closing tag, and pages with rare entities, take a slower way.
     """
-    shown = F.when(F.rlike(html, F.lit(_NESTED)), _drop_nested(html)).otherwise(
-        F.regexp_replace(html, _FLAT, " ")
-    )
-    untagged = F.regexp_replace(shown, _TAG, " ")
+    uneven = F.rlike(html, F.lit(_NESTED)) | F.rlike(html, F.lit(_UNCLOSED))
+    flat = F.regexp_replace(F.regexp_replace(html, _FLAT, " "), _TAG, " ")
+    untagged = F.when(uneven, _shown_parts(html)).otherwise(flat)
     text = decode_entities(untagged, F.rlike(html, F.lit(_OTHER_ENTITY)))
     return collapse_space(F.coalesce(text, F.lit("")))

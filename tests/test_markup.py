@@ -83,6 +83,46 @@ def test_tags_comments_and_raw_text(evaluate):
     ]
 
 
+def test_malformed_pages(evaluate):
+    pages = [
+        "<p title=don't>Hello</p><p>it's fine</p><p>end</p>",
+        "<p data-x=5' >A</p><p>B's</p>C",
+        "<a href='x>y' title=\"1 > 0\">t</a> <b c = 'd>e'>u</b>",
+        "<div><nav><a>m</a></div><p>body text</p>",
+        "<div><header>h<footer>f</div>shown</header> too",
+        "<nav>rest of the page is hidden<p>all of it",
+        "x<nav><br><img src=a>m</nav>y<nav/>z",
+        "</nav>a</div>b",
+        "<nav><!-- </nav> --><script>'</nav>'</script>m</nav>kept<header><header>1</header>2</header>",
+    ]
+    assert evaluate(visible_text, pages) == [
+        "Hello it's fine end",
+        "A B's C",
+        "t u",
+        "body text",
+        "shown too",
+        "",
+        "x y z",
+        "a b",
+        "kept",
+    ]
+
+
+def test_many_nested_elements_take_linear_time(evaluate):
+    import time
+
+    def page(n):
+        return "<header>a<header>b</header>c</header>x " * n
+
+    evaluate(visible_text, [page(50)])
+    seconds = []
+    for n in (1000, 4000):
+        start = time.monotonic()
+        assert evaluate(visible_text, [page(n)]) == [" ".join(["x"] * n)]
+        seconds.append(time.monotonic() - start)
+    assert seconds[1] < 8 * seconds[0] + 1
+
+
 def test_entities(evaluate):
     pages = [
         "&lt;b&gt; &amp;lt; &quot;x&quot;",
@@ -90,6 +130,7 @@ def test_entities(evaluate):
         "&unknown; &amp &am &#xD800; AT&T &#38;amp;",
         "a&nbsp;&nbsp;b",
         "&amp;euro; &rarr;",
+        "&#00000000000065; &#x0000000000000041; &#99999999999999;",
     ]
     assert evaluate(visible_text, pages) == [
         '<b> &lt; "x"',
@@ -97,6 +138,7 @@ def test_entities(evaluate):
         "&unknown; &amp &am &#xD800; AT&T &amp;",
         "a b",
         "&euro; →",
+        "A A &#99999999999999;",
     ]
 
 
