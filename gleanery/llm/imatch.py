@@ -37,21 +37,20 @@ DIGITS = 8
 EMPTY = "0" * DIGITS
 
 
-_MARKS = str.maketrans("", "", string.punctuation)
+_MARKS = string.punctuation.encode()
 
 
-def terms(text: str) -> list[str]:
-    """Lower-case words without ASCII punctuation, repeats included."""
-    return text.lower().translate(_MARKS).split()
+def terms(text: str) -> list[bytes]:
+    """Lower-case words in UTF-8 without ASCII punctuation, repeats included."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(None, _MARKS).split()
 
 
 class Lexicon:
     """Sorted terms, with a hash and the bits of the subsets that have it for each."""
 
     def __init__(self, words: list[str]):
-        words = sorted(words)
-        self.number = {w: i for i, w in enumerate(words)}
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        raw = sorted(w.encode("utf-8", "surrogatepass") for w in words)
+        self.number = {w: i for i, w in enumerate(raw)}
         self.hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in raw], np.uint64)
         self.member = np.zeros((len(words), len(RATES) * SUBSETS), bool)
         for subset in range(self.member.shape[1]):
@@ -69,14 +68,14 @@ class Lexicon:
         own = sorted(self.number[w] for w in set(terms(text)) & self.number.keys())
         if not own:
             return f"{xxhash.xxh64_hexdigest(text.encode('utf-8', 'surrogatepass'), SEED)}{EMPTY * (len(RATES) * SUBSETS)}"
-        hashes, member = self.hashes[own], self.member[own]
-        parts = [xxhash.xxh64_hexdigest(hashes.tobytes(), SEED)]
-        filled = member.any(0).tolist()
-        for subset, some in enumerate(filled):
-            parts.append(
-                xxhash.xxh32_hexdigest(hashes[member[:, subset]].tobytes(), SEED) if some else EMPTY
-            )
-        return "".join(parts)
+        hashes = self.hashes[own]
+        # members of every subset, one subset after another, each in the order of terms
+        subsets, places = np.nonzero(self.member[own].T)
+        members = hashes[places].tobytes()
+        ends = (8 * np.searchsorted(subsets, np.arange(len(RATES) * SUBSETS + 1))).tolist()
+        digest = xxhash.xxh32_hexdigest
+        parts = [digest(members[a:b], SEED) if b > a else EMPTY for a, b in zip(ends, ends[1:])]
+        return xxhash.xxh64_hexdigest(hashes.tobytes(), SEED) + "".join(parts)
 
 
 def _likelihoods() -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +84,8 @@ def _likelihoods() -> tuple[np.ndarray, np.ndarray]:
     Rows: rate and outcome; columns: a grid of how many terms two documents have together
     and which share of them both have.
     """
-    together = np.exp(np.linspace(np.log(1), np.log(50_000), 60))
-    share = np.linspace(0, 1, 41)
+    together = np.exp(np.linspace(np.log(1), np.log(50_000), 30))
+    share = np.linspace(0, 1, 21)
     grid_n, grid_s = (x.ravel() for x in np.meshgrid(together, share, indexing="ij"))
     table = np.empty((len(RATES), 3, grid_n.size))
     for i, rate in enumerate(RATES):
@@ -134,29 +133,30 @@ def lexicon_terms(df: DataFrame, text: str = "text") -> list[str]:
     rows = df.select(common.whole(text).alias("t"))
     least, most = exp(-IDF_HIGH), exp(-IDF_LOW)
 
-    def counted(batches):
+    def counted(batches, only=None):
         counts, n = Counter(), 0
         for batch in common.slices(batches):
             n += batch.num_rows
             for value in batch.column(0).to_pylist():
-                counts.update(set(terms(value)))
+                own = set(terms(value))
+                counts.update(own if only is None else own & only)
         return counts, n
 
     def frequent(batches):
         counts, n = counted(batches)
-        words = [w for w, c in counts.items() if c >= least * n]
+        words = [w.decode("utf-8", "surrogatepass") for w, c in counts.items() if c >= least * n]
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], ["term"])
 
     candidates = rows.mapInArrow(frequent, "term string").distinct()
     wanted = df.sparkSession.sparkContext.broadcast(
-        {w for batch in [candidates.toArrow()] for w in batch.column(0).to_pylist()}
+        {w.encode("utf-8", "surrogatepass") for w in candidates.toArrow().column(0).to_pylist()}
     )
 
     def exact(batches):
-        counts, n = counted(batches)
-        words = [w for w in wanted.value if w in counts]
+        counts, n = counted(batches, wanted.value)
+        words = [w.decode("utf-8", "surrogatepass") for w in counts]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([*words, None], pa.string()), common.longs([*(counts[w] for w in words), n])],
+            [pa.array([*words, None], pa.string()), common.longs([*counts.values(), n])],
             ["term", "n"],
         )
 

@@ -11,7 +11,7 @@ from messy_rows import MESSY
 
 def test_lexicon_is_the_band_over_all_texts(spark, sf_dir, texts):
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(5)
-    counts = Counter(w for t in texts.values() for w in set(imatch.terms(t)))
+    counts = Counter(w.decode() for t in texts.values() for w in set(imatch.terms(t)))
     n = len(texts)
     want = {w for w, c in counts.items() if math.exp(-imatch.IDF_HIGH) * n <= c <= math.exp(-imatch.IDF_LOW) * n}
     assert set(imatch.lexicon_terms(frame)) == want
@@ -26,7 +26,7 @@ def test_fingerprints_hash_sorted_terms_of_random_subsets():
     changed = lexicon.fingerprint(text.replace("w0 ", "w1 "))
     parts = [[p[16 + 8 * i : 24 + 8 * i] for i in range(60)] for p in (print_, changed)]
     for i, (a, b) in enumerate(zip(*parts)):
-        same = lexicon.member[lexicon.number["w0"], i] == lexicon.member[lexicon.number["w1"], i] == False  # noqa: E712
+        same = lexicon.member[lexicon.number[b"w0"], i] == lexicon.member[lexicon.number[b"w1"], i] == False  # noqa: E712
         assert (a == b) == same or not same
 
 
