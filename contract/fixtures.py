@@ -151,6 +151,34 @@ def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def malformed(pages: DataFrame) -> DataFrame:
+    """Pages with stray quotes, unclosed and nested hidden elements; they show what they did."""
+    body = "(?i)(<body[^>]*>)"
+    damages = [
+        F.regexp_replace("html", "<p>", "<p title=don't data-x=5'>"),
+        F.regexp_replace("html", body, "$1<div><nav><a>menu</a></div>"),
+        F.regexp_replace("html", body, "$1<header>a<header>b<nav>c</nav></header>d</header>"),
+    ]
+    html = F.col("html")
+    for rest, damage in enumerate(damages):
+        html = F.when(F.col("page_id") % 9 == rest, damage).otherwise(html)
+    return pages.withColumn("html", html)
+
+
+def recrawled(captures: DataFrame) -> DataFrame:
+    """Every sixth source with a second capture, a failed one."""
+    again = captures.filter("source_id % 6 = 0").withColumns(
+        {"error": F.lit(True), "status": F.lit(500), "static_html": F.lit("<p>try again later</p>")}
+    )
+    return captures.unionByName(again)
+
+
+def probed_twice(link_status: DataFrame) -> DataFrame:
+    """Every verdict beside one that found nothing wrong."""
+    fine = link_status.withColumns({"status": F.lit(200), "error": F.lit(False)})
+    return link_status.unionByName(fine)
+
+
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source per page."""
     page = F.col("page_id")

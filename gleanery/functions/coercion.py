@@ -70,6 +70,13 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
+def is_object(value: Column) -> Column:
+    """True for JSON objects, the stand-in for NaN not among them."""
+    value_kind = kind(value)
+    nan = F.startswith(value_kind, F.lit(f"OBJECT<`{_NAN_KEY}`"))
+    return F.startswith(value_kind, F.lit("OBJECT")) & ~nan
+
+
 def is_missing(value: Column) -> Column:
     """True for a missing key and for JSON null."""
     return value.isNull() | F.is_variant_null(value)

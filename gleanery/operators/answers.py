@@ -28,7 +28,7 @@ def explode_programs(answers: DataFrame, *, keep: list[str]) -> DataFrame:
     return (
         answers.withColumn("wrapped", coercion.wrap_json(F.col("payload")))
         .select(*keep, F.posexplode(programs).alias("pos", "entry"))
-        .filter(F.startswith(coercion.kind(F.col("entry")), F.lit("OBJECT")))
+        .filter(coercion.is_object(F.col("entry")))
     )
 
 
@@ -126,6 +126,13 @@ def type_records(entries: DataFrame, run_date: Column) -> DataFrame:
     )
 
 
+def append_records(first: DataFrame, *more: DataFrame) -> DataFrame:
+    """Batches of raw records one after another, in the columns of the first."""
+    for batch in more:
+        first = first.unionByName(batch.select(*first.columns))
+    return first
+
+
 def accepted(typed: DataFrame) -> DataFrame:
     """Raw records without a reason to reject them.
 

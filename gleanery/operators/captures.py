@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.markup import visible_text
@@ -15,11 +15,21 @@ MIN_STATIC_CHARS = 400
 MIN_CONTENT_CHARS = 40
 
 
-def with_texts(captures: DataFrame) -> DataFrame:
-    """Visible text in place of markup: ``static_text`` and ``rendered_text``.
+def one_per_source(captures: DataFrame) -> DataFrame:
+    """One capture of every source: one without an error first, then by status and address.
 
-    Needs nothing from the registry, so the markup never takes part in a shuffle.
+    Repeated captures are looked for by their keys; without any, markup stays where it is.
     """
+    repeated = captures.groupBy("source_id").count().filter("count > 1")
+    if repeated.isEmpty():
+        return captures
+    place = [F.coalesce("error", F.lit(False)), "status", "final_url", "elapsed_s", "static_html"]
+    number = F.row_number().over(Window.partitionBy("source_id").orderBy(*place))
+    return captures.withColumn("place", number).filter("place = 1").drop("place")
+
+
+def with_texts(captures: DataFrame) -> DataFrame:
+    """Visible text in place of markup: ``static_text`` and ``rendered_text``."""
     return captures.withColumns(
         {
             "static_text": visible_text(F.col("static_html")),
@@ -36,7 +46,9 @@ def with_sources(texts: DataFrame, registry: DataFrame) -> DataFrame:
     """
     found = texts.withColumn("error", F.coalesce("error", F.lit(False)))
     if fits_broadcast(registry):
-        waiting = registry.join(texts.select("source_id"), "source_id", "left_anti")
+        wanted = F.broadcast(registry.select("source_id"))
+        there = texts.select("source_id").join(wanted, "source_id", "left_semi")
+        waiting = registry.join(there, "source_id", "left_anti")
         joined = found.join(F.broadcast(registry), "source_id").unionByName(
             waiting, allowMissingColumns=True
         )
@@ -64,12 +76,15 @@ def choose_text(captured: DataFrame) -> DataFrame:
 
     Static text wins unless the source asks for a browser or the text is short; then
     rendered text does, if there is any. ``needs_render`` tells that a browser was called
-    for, ``extractable`` that there is enough text to extract from.
+    for, ``extractable`` that there is enough text to extract from. Given markup instead of
+    texts, it is read only where the choice falls on it.
     """
     kind = static_type()
+    lazy = "static_html" in captured.columns
+    static_shown = visible_text(F.col("static_html")) if lazy else F.col("static_text")
     static = (
         F.when(F.col("render") == "js", F.lit(""))
-        .when(kind == "html_text", F.col("static_text"))
+        .when(kind == "html_text", static_shown)
         .when(kind == "pdf_text", F.col("pdf_text"))
     )
     staged = captured.withColumns(
@@ -78,6 +93,9 @@ def choose_text(captured: DataFrame) -> DataFrame:
     keep_static = (F.col("render") == "static") | (
         (F.col("render") != "js") & (F.length("static_text") >= MIN_STATIC_CHARS)
     )
+    if lazy:
+        shown = F.when(~keep_static, visible_text(F.col("rendered_html")))
+        staged = staged.withColumn("rendered_text", shown).drop("static_html", "rendered_html")
     rendered = ~keep_static & has_text(F.col("rendered_text"))
     nothing = ~rendered & (F.col("render") == "js")
     # A failed request keeps the requested address, a bad status the one it ended at.
@@ -114,8 +132,16 @@ def choose_text(captured: DataFrame) -> DataFrame:
 
 
 def read_captures(captures: DataFrame, registry: DataFrame) -> DataFrame:
-    """One row per source: its registry columns and the text captured for it."""
-    return choose_text(with_sources(with_texts(captures), registry))
+    """One row per source: its registry columns and the text captured for it.
+
+    Only captures of the registry's sources are read. A small registry is joined first, where
+    the markup lies; for a large one the text is read before the join, so that markup is
+    shuffled in neither case.
+    """
+    if fits_broadcast(registry):
+        return choose_text(with_sources(captures, registry))
+    wanted = captures.join(registry.select("source_id"), "source_id", "left_semi")
+    return choose_text(with_sources(with_texts(wanted), registry))
 
 
 def worth_extracting(text: Column) -> Column:

@@ -18,6 +18,18 @@ def duplicate_key() -> list[Column]:
     ]
 
 
+def counts_around(records: DataFrame) -> DataFrame:
+    """Rows ``step, records``: how many records there are before and after first-wins.
+
+    One aggregate over the keys; the records themselves stay where they are.
+    """
+    per_key = records.groupBy(*duplicate_key()).agg(F.count("*").alias("n"))
+    both = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("before"), F.count("*").alias("after")
+    )
+    return both.selectExpr("stack(2, 'before', before, 'after', after) AS (step, records)")
+
+
 def keep_first(records: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The first record of every duplicate key, by ``order`` (source trust, then position).
 

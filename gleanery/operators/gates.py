@@ -44,9 +44,12 @@ def failures() -> dict[str, Column]:
 def gate_report(table: DataFrame, header: list[str] | None = None) -> DataFrame:
     """``gate, passed, offending`` rows from one pass over the table.
 
-    ``header`` is the column list found in the file, the table's own by default.
+    ``header`` is the column list found in the files, the table's own by default. A header
+    counts as a row: a table with nothing else fails ``coverage``, but not ``nonempty``.
     """
-    header_ok = (header or [c for c in table.columns if c != "row_index"]) == TABLE_COLUMNS
+    if header is None:
+        header = [c for c in table.columns if c != "row_index"]
+    header_ok = header == TABLE_COLUMNS
     failing = failures()
     counts = table.agg(
         F.count("*").alias("rows"),
@@ -61,7 +64,7 @@ def gate_report(table: DataFrame, header: list[str] | None = None) -> DataFrame:
         )
 
     lines = [
-        line("nonempty", F.col("rows") > 0, F.lit(0)),
+        line("nonempty", (F.col("rows") > 0) | F.lit(bool(header)), F.lit(0)),
         line("columns", F.lit(header_ok), F.lit(0 if header_ok else 1)),
         *[line(g, F.col(f"bad_{g}") == 0, F.col(f"bad_{g}")) for g in failing],
         line(

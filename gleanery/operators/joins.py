@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16
-_SALT = "__salt"
-
 
 def _byte_limit(df: DataFrame) -> int:
     """The session's own broadcast limit in bytes; negative if broadcasts are off."""
@@ -23,24 +20,14 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(estimate)) <= _byte_limit(df)
 
 
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "left",
-    *,
-    spread_by: list[str],
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join ``left`` with ``right``, which holds at most one row per ``key``.
 
-    A right side within the broadcast limit leaves ``left`` where it is. Beyond it, rows
-    of one key on the left are spread over ``salts`` partitions by a hash of the
-    ``spread_by`` columns, so that a key holding a third of all rows is no hot task.
+    A right side within the broadcast limit leaves ``left`` where it is. Beyond it both are
+    shuffled by the key for a sort-merge join. Adaptive execution splits the left rows of a
+    heavy key over several tasks, as many as its size calls for, and hands only that key's
+    partition of the right side to each of them.
     """
     if fits_broadcast(right):
         return left.join(F.broadcast(right), key, how)
-    salt: Column = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted = right.withColumn(_SALT, copies)
-    return left.withColumn(_SALT, salt).join(salted, [key, _SALT], how).drop(_SALT)
+    return left.join(right.hint("merge"), key, how)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.text import strip_space
 from gleanery.functions.urls import authority
 from gleanery.operators.joins import lookup_join
-from gleanery.operators.review import link_is_broken
+from gleanery.operators.review import verdicts
 
 # --- fixed values: hosts whose failure is only a warning ------------------------------
 WARN_ONLY_HOSTS = ["www.rd.usda.gov"]
@@ -19,21 +19,14 @@ def warns_only(url: Column, hosts: list[str] | None = None) -> Column:
     return authority(url).isin(*(hosts or WARN_ONLY_HOSTS))
 
 
-def _verdicts(link_status: DataFrame) -> DataFrame:
-    return link_status.select(
-        "url", link_is_broken(F.col("status"), F.col("error")).alias("broken")
-    )
-
-
 def source_liveness(
     registry: DataFrame, link_status: DataFrame, warn_hosts: list[str] | None = None
 ) -> DataFrame:
     """OK, WARN or FAIL for every source in trust order; UNKNOWN if never probed."""
     joined = lookup_join(
         registry.select("source_id", "source_ord", "name", "url"),
-        _verdicts(link_status),
+        verdicts(link_status),
         "url",
-        spread_by=["source_id"],
     )
     status = (
         F.when(F.col("broken").isNull(), F.lit("UNKNOWN"))
@@ -59,7 +52,7 @@ def link_liveness(table: DataFrame, link_status: DataFrame) -> DataFrame:
     )
     return (
         distinct_links(table)
-        .join(_verdicts(link_status), "url", "left")
+        .join(verdicts(link_status), "url", "left")
         .select("url", status.alias("status"))
         .orderBy("url")
     )

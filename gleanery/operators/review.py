@@ -29,6 +29,12 @@ def link_is_broken(status: Column, error: Column) -> Column:
     return F.when(F.coalesce(error, F.lit(False)), F.lit(True)).otherwise(~reachable)
 
 
+def verdicts(link_status: DataFrame) -> DataFrame:
+    """One row per address: ``broken`` if any probe of it says so, null if none says anything."""
+    broken = link_is_broken(F.col("status"), F.col("error"))
+    return link_status.groupBy("url").agg(F.bool_or(broken).alias("broken"))
+
+
 def checked_scope(table: DataFrame, max_checks: int, order: list[str]) -> DataFrame:
     """Rows among which links are checked: up to and including the ``max_checks``-th link.
 
@@ -67,12 +73,9 @@ def flag_broken_links(
     if max_checks == 0:
         return table
     order = order or ORDER_COLUMNS
-    verdicts = link_status.select(
-        F.col("url").alias("program_links"),
-        link_is_broken(F.col("status"), F.col("error")).alias("broken"),
-    )
+    known = verdicts(link_status).withColumnRenamed("url", "program_links")
     scoped = checked_scope(table, max_checks, order)
-    joined = lookup_join(scoped, verdicts, "program_links", spread_by=order)
+    joined = lookup_join(scoped, known, "program_links")
     flagged = F.col("in_scope") & (
         ~has_text(F.col("program_links")) | F.coalesce("broken", F.lit(False))
     )

@@ -7,13 +7,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators import answers as answering
-from gleanery.operators.audit import audit, run_totals
-from gleanery.operators.captures import read_captures
-from gleanery.operators.dedupe import keep_first
+from gleanery.operators.audit import audit
+from gleanery.operators.captures import one_per_source, read_captures
+from gleanery.operators.dedupe import counts_around, keep_first
 from gleanery.operators.gates import gate_report
 from gleanery.operators.joins import lookup_join
 from gleanery.operators.liveness import link_liveness, source_liveness
@@ -29,6 +30,29 @@ from gleanery.sources.sinks import write_audit, write_review_queue, write_table
 Extractor = Callable[[DataFrame], DataFrame]
 
 
+def each_request(function: Callable[[dict], str]) -> Extractor:
+    """An extractor from a function that takes one request and returns its payload.
+
+    What it raises becomes the request's ``error``; the request then has no records and all
+    others have theirs. Failures of the job itself still end it.
+    """
+
+    def extract(requests: DataFrame) -> DataFrame:
+        def run(frames):
+            for frame in frames:
+                rows = []
+                for request in frame.to_dict("records"):
+                    try:
+                        rows.append((request["source_id"], function(request), None))
+                    except Exception as error:  # a failing page must not end the run
+                        rows.append((request["source_id"], None, f"{type(error).__name__}: {error}"))
+                yield pd.DataFrame(rows, columns=["source_id", "payload", "error"])
+
+        return requests.mapInPandas(run, "source_id long, payload string, error string")
+
+    return extract
+
+
 @contextmanager
 def repeated_keys_allowed(spark: SparkSession) -> Iterator[None]:
     """Let the last of repeated keys in a JSON object win, instead of failing the payload."""
@@ -59,7 +83,7 @@ def raw_records(answers: DataFrame, hints: DataFrame, run_date: Column) -> DataF
 
     The join comes before parsing, while an answer is still one row.
     """
-    hinted = lookup_join(answers, hints, "source_id", "inner", spread_by=["first_pos", "payload"])
+    hinted = lookup_join(answers, hints, "source_id", "inner")
     entries = answering.explode_programs(
         hinted, keep=["source_id", "source_ord", "first_pos", "final_url", "hint"]
     )
@@ -88,6 +112,10 @@ class Curated:
     table: DataFrame
     audit: DataFrame
     rejects: DataFrame
+    #: ``source_id, error`` of the requests whose extraction failed.
+    failures: DataFrame
+    #: Accepted records before duplicates were removed.
+    records: DataFrame
 
 
 def build(
@@ -104,34 +132,45 @@ def build(
 ) -> Curated | None:
     """Run every stage over the selected sources; None if no source is selected.
 
-    Answers come from the ``answers`` table or from ``extract`` applied to the requests.
-    Page text, raw records and the table are written once each to the shared folder.
+    Answers come from the ``answers`` table or from ``extract`` applied to the requests,
+    once. ``each_request`` makes an extractor of which a failing request ends nothing. Page
+    text, extracted answers, raw records and the table are written once each to the shared
+    folder. Several answers of one source need ``first_pos`` to be in order.
     """
     if (answers is None) == (extract is None):
         raise ValueError("give either answers or extract")
+    if check_links != 0 and link_status is None:
+        raise ValueError("check_links needs link_status")
     selected = select_sources(registry, names)
     if selected.isEmpty():
         return None
     folder = shared_folder(registry.sparkSession)
     day = run_date_column(run_date)
 
-    pages = stage(read_captures(captures, selected), folder, "pages")
-    given = extract(extraction_requests(pages)) if extract else answers
+    pages = stage(read_captures(one_per_source(captures), selected), folder, "pages")
+    given = stage(extract(extraction_requests(pages)), folder, "answers") if extract else answers
     if "first_pos" not in given.columns:
+        if not given.groupBy("source_id").count().filter("count > 1").isEmpty():
+            raise ValueError("several answers of one source need first_pos")
         given = given.withColumn("first_pos", F.lit(0).cast("bigint"))
+    if "error" not in given.columns:
+        given = given.withColumn("error", F.lit(None).cast("string"))
+    failures = given.filter("error IS NOT NULL").select("source_id", "error")
     given = given.select("source_id", "first_pos", "payload")
 
     with repeated_keys_allowed(registry.sparkSession):
         typed = stage(raw_records(given, source_hints(pages), day), folder, "raw")
     records = answering.accepted(typed)
     table = stage(curate(records, day, defaults), folder, "table")
-    if link_status is not None and check_links != 0:
+    if check_links != 0:
         checked = flag_broken_links(table, link_status, check_links)
         table = stage(checked, folder, "checked")
     return Curated(
         table=table,
         audit=audit(pages, records),
         rejects=answering.rejected(typed),
+        failures=failures,
+        records=records,
     )
 
 
@@ -147,18 +186,20 @@ def run(
     include_source: bool = False,
     **options,
 ) -> dict[str, int]:
-    """Build and write table, review queue and audit; returns records and flagged counts.
+    """Build and write table, review queue and audit; returns their counts.
 
-    Nothing is written if no source is selected.
+    ``before`` and ``after`` count records around the removal of duplicates, ``records`` and
+    ``flagged`` the rows written. Nothing is written if no source is selected.
     """
     started = datetime.now()
     result = build(registry, captures, answers, run_date=run_date, **options)
     if result is None:
-        return {"records": 0, "flagged": 0}
+        return {"before": 0, "after": 0, "records": 0, "flagged": 0}
     written = write_table(result.table, output_path, include_source=include_source)
     flagged = write_review_queue(result.table, review_path)
     write_audit(result.audit, log_dir, started)
-    return {"records": written, "flagged": flagged}
+    around = {r["step"]: r["records"] for r in counts_around(result.records).collect()}
+    return {**around, "records": written, "flagged": flagged}
 
 
 def gate(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
@@ -166,8 +207,10 @@ def gate(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
         return 2, None
-    report = gate_report(read_table(spark, path), header_of(spark, path))
-    return (1 if not report.filter(~F.col("passed")).isEmpty() else 0), report
+    table = read_table(spark, path, numbered=False)
+    rows = gate_report(table, header_of(spark, path)).collect()  # one row a gate
+    report = spark.createDataFrame(rows, "gate string, passed boolean, offending bigint")
+    return (0 if all(r["passed"] for r in rows) else 1), report
 
 
 def check_links(
@@ -187,9 +230,9 @@ __all__ = [
     "check_links",
     "curate",
     "gate",
+    "each_request",
     "raw_records",
     "run",
     "run_date_column",
-    "run_totals",
     "source_hints",
 ]

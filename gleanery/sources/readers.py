@@ -64,28 +64,41 @@ def read_link_status(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names as written in the file."""
-    return spark.read.options(**_CSV).csv(path).columns
+    """Column names as written in the files; empty if no file has a line.
 
+    The first line of every file is read. Where files differ, it is a header other than the
+    table's own.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    firsts = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    expected = ",".join(TABLE_COLUMNS)
+    found = firsts.groupBy("header").count().orderBy(F.col("header") == expected, "header").first()
+    return found["header"].split(",") if found else []
 
-def read_table(spark: SparkSession, path: str, *, include_source: bool = False) -> DataFrame:
+
+def read_table(
+    spark: SparkSession, path: str, *, include_source: bool = False, numbered: bool = True
+) -> DataFrame:
     """A written table by position, each row with its number ``row_index`` from 0.
 
-    Rows are numbered per file, files by the numbers in their names; the only window runs
+    Without ``numbered`` the number is left out and the files are read once. Rows are numbered per file, files by the numbers in their names; the only window runs
     over one row per file. A file is read whole by one task, so positions in it are
     consecutive.
     """
     names = [*TABLE_COLUMNS, *([PROVENANCE_COLUMN] if include_source else [])]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = (
-        spark.read.options(**_CSV)
-        .schema(schema)
-        .csv(path)
-        .select(
-            *[F.coalesce(n, F.lit("")).alias(n) for n in names],
-            F.col("_metadata.file_name").alias("file_name"),
-            F.monotonically_increasing_id().alias("row_id"),
-        )
+    given = spark.read.options(**_CSV).schema(schema).csv(path)
+    texts = [F.coalesce(n, F.lit("")).alias(n) for n in names]
+    if not numbered:
+        return given.select(*texts)
+    rows = given.select(
+        *texts,
+        F.col("_metadata.file_name").alias("file_name"),
+        F.monotonically_increasing_id().alias("row_id"),
     )
     files = rows.groupBy("file_name").agg(
         F.count("*").alias("rows"), F.min("row_id").alias("first_id")
@@ -100,7 +113,7 @@ def read_table(spark: SparkSession, path: str, *, include_source: bool = False)
     offsets = files.select(
         "file_name", "first_id", F.coalesce(before, F.lit(0)).alias("rows_before")
     )
-    return rows.join(F.broadcast(offsets), "file_name").select(
+    return rows.join(offsets, "file_name").select(
         *names, (F.col("row_id") - F.col("first_id") + F.col("rows_before")).alias("row_index")
     )
 

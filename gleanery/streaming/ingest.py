@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gleanery.plans.build import raw_records
+from gleanery.plans.build import raw_records, repeated_keys_allowed
 from gleanery.schema import ANSWER_SCHEMA
 
 
@@ -22,12 +22,14 @@ def start_ingest(
     Every stage up to the raw records works on single rows, so there is no state to keep
     and a restart from ``checkpoint`` writes each answer once.
     """
-    return (
-        raw_records(answers, hints, run_date)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    # a stream keeps the settings of its start, repeated JSON keys are read as in a build
+    with repeated_keys_allowed(answers.sparkSession):
+        return (
+            raw_records(answers, hints, run_date)
+            .writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )

@@ -87,7 +87,7 @@ def test_run_writes_table_queue_and_audit(spark, places):
     assert [r[0] for r in rows] == [f"{name} program" for name, *_ in SOURCES]
     assert [r[2] for r in rows] == ["Tampa", "Lake County", "Federal", "Grid Co territory"]
     assert all(r[3] in INCENTIVE_TYPES and r[7] == "Up to $1,000" for r in rows)
-    assert counts == {"records": 4, "flagged": 0}
+    assert counts == {"before": 4, "after": 4, "records": 4, "flagged": 0}
     (log,) = Path(places["log_dir"]).glob("run_*.jsonl")
     lines = spark.read.json(str(log)).orderBy("source").collect()
     assert [(r.source, r.records, r.elapsed_s) for r in lines] == [
@@ -102,7 +102,7 @@ def test_empty_pages_give_a_header_only(spark, places):
     counts = build.run(
         registry(spark), captures(spark, html=""), extract=one_per_request, run_date="2026-02-01", **places
     )
-    assert counts == {"records": 0, "flagged": 0}
+    assert counts == {"before": 0, "after": 0, "records": 0, "flagged": 0}
     assert written(places["output_path"]) == [TABLE_COLUMNS]
 
 
@@ -115,7 +115,7 @@ def test_nothing_selected_writes_nothing(spark, places):
         run_date="2026-02-01",
         **places,
     )
-    assert counts == {"records": 0, "flagged": 0}
+    assert counts == {"before": 0, "after": 0, "records": 0, "flagged": 0}
     assert not Path(places["output_path"]).exists()
 
 

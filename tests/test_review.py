@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.operators import gates, liveness, review
 from gleanery.operators.joins import fits_broadcast, lookup_join
@@ -63,16 +64,56 @@ def test_bounded_link_check_like_a_loop(spark, limit, threshold):
     assert got == expected_flags(full, broken, limit)
 
 
+def test_lookup_join_splits_a_hot_key(spark):
+    """A key with a third of the rows, at two sizes: the largest task is near the others."""
+    import re
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        for size in (60_000, 240_000):
+            key = "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS key"
+            left = spark.range(0, size, 1, 12).selectExpr("id", key, "uuid() AS pad")
+            right = spark.range(0, size, 1, 4).selectExpr("id AS key", "id * 2 AS twice")
+            joined = lookup_join(left, right, "key")
+            by_task = joined.groupBy(F.spark_partition_id())
+            tasks = by_task.agg(F.count("*").alias("count"), F.max("pad")).collect()
+            assert sum(r["count"] for r in tasks) == size
+            assert max(r["count"] for r in tasks) < 0.15 * size
+            plan = joined.selectExpr("sum(twice)", "max(pad)")
+            plan.collect()
+            assert re.search("skew=true", plan._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_repeated_verdicts_do_not_repeat_rows(spark):
+    from gleanery.operators.review import verdicts
+
+    rows = [("a", 200, False), ("a", 404, False), ("b", 200, None), ("b", 200, True), ("c", None, None), (None, 404, False)]
+    found = verdicts(spark.createDataFrame(rows, "url string, status int, error boolean"))
+    assert {r.url: r.broken for r in found.collect() if r.url} == {"a": True, "b": True, "c": None}
+
+
 def test_lookup_join_keeps_every_row_of_a_hot_key(spark):
     left = spark.range(30_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS key")
     right = spark.range(20_000).selectExpr("id AS key", "id * 2 AS twice")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert not fits_broadcast(right)
-        salted = lookup_join(left, right, "key", "left", spread_by=["id"])
-        assert "Broadcast" not in salted._jdf.queryExecution().executedPlan().toString()
-        wide = salted.selectExpr("count(*) n", "count(twice) m", "sum(twice) s").first()
-        inner = lookup_join(left, right, "key", "inner", spread_by=["id"]).count()
+        joined = lookup_join(left, right, "key", "left")
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        wide = joined.selectExpr("count(*) n", "count(twice) m", "sum(twice) s").first()
+        inner = lookup_join(left, right, "key", "inner").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert fits_broadcast(right.limit(10))
