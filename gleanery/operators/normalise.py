@@ -37,6 +37,22 @@ TYPE_KEYWORDS = [
     ("Grants", ["grant"]),
 ]
 LOW_CONFIDENCE = 0.7
+DEFAULT_STATE = "FL"
+DEFAULT_COUNTY = "Hillsborough County"
+DEFAULT_CITY = "Tampa"
+DEFAULT_UTILITY = "Utility"
+FEDERAL_STATE = "USA"
+FEDERAL_CITY = "Federal"
+STATEWIDE = "Statewide"
+TERRITORY = " territory"
+TIERED = "Tiered (see eligibility notes)"
+UNRESOLVED_TYPE = "incentive_type unresolved"
+UNSPECIFIED_ELIGIBILITY = "eligibility unspecified"
+UNSPECIFIED_AMOUNT = "amount unspecified"
+UNKNOWN_EXPIRY = "expiry unknown"
+MISSING_LINK = "missing link"
+LOW_CONFIDENCE_IS = "low confidence ("
+REVIEW_SUFFIX = " [needs review: "
 # --- end of fixed values ------------------------------------------------------------
 
 
@@ -44,10 +60,10 @@ LOW_CONFIDENCE = 0.7
 class PlaceDefaults:
     """Names used where a record or its source leaves the place open."""
 
-    state: str = "FL"
-    county: str = "Hillsborough County"
-    city: str = "Tampa"
-    utility: str = "Utility"
+    state: str = DEFAULT_STATE
+    county: str = DEFAULT_COUNTY
+    city: str = DEFAULT_CITY
+    utility: str = DEFAULT_UTILITY
 
 
 def amount_text() -> Column:
@@ -64,7 +80,7 @@ def amount_text() -> Column:
         .when(kind == "up_to", F.concat(F.lit("Up to $"), value))
         .when(kind == "per_unit", F.concat(F.lit("$"), value, F.lit(" per unit")))
         .when(
-            kind == "tiered", F.coalesce(blank_to_null(text), F.lit("Tiered (see eligibility notes)"))
+            kind == "tiered", F.coalesce(blank_to_null(text), F.lit(TIERED))
         )
     )
     return F.coalesce(
@@ -91,21 +107,21 @@ def place(defaults: PlaceDefaults) -> tuple[Column, Column]:
     """State and city columns from the level and the place fields."""
     level = F.col("level")
     home = F.coalesce(F.upper(blank_to_null(F.col("state"))), F.lit(defaults.state))
-    state = F.when(level == "federal", F.lit("USA")).otherwise(home)
+    state = F.when(level == "federal", F.lit(FEDERAL_STATE)).otherwise(home)
     named = F.coalesce(blank_to_null(F.col("county")), F.lit(defaults.county))
     county = F.when(F.endswith(named, F.lit("County")), named).otherwise(
         F.concat(named, F.lit(" County"))
     )
     provider = F.coalesce(blank_to_null(F.col("utility_provider")), F.lit(defaults.utility))
     city = (
-        F.when(level == "federal", F.lit("Federal"))
-        .when(level == "state", F.lit("Statewide"))
+        F.when(level == "federal", F.lit(FEDERAL_CITY))
+        .when(level == "state", F.lit(STATEWIDE))
         .when(level == "county", county)
         .when(level == "city", F.coalesce(blank_to_null(F.col("city")), F.lit(defaults.city)))
-        .when(level == "utility", F.concat(provider, F.lit(" territory")))
+        .when(level == "utility", F.concat(provider, F.lit(TERRITORY)))
         .otherwise(
             F.coalesce(
-                blank_to_null(F.col("city")), blank_to_null(F.col("county")), F.lit("Statewide")
+                blank_to_null(F.col("city")), blank_to_null(F.col("county")), F.lit(STATEWIDE)
             )
         )
     )
@@ -210,15 +226,15 @@ def normalise(
     conditions = F.coalesce("conditions", F.lit(SEE_PAGE))
     reasons = F.array_compact(
         F.array(
-            F.when(F.col("known_type").isNull(), F.lit("incentive_type unresolved")),
-            F.when(conditions == SEE_PAGE, F.lit("eligibility unspecified")),
-            F.when(F.col("amount").isNull(), F.lit("amount unspecified")),
-            F.when(F.col("expiry_unknown"), F.lit("expiry unknown")),
-            F.when(F.col("program_links") == "", F.lit("missing link")),
+            F.when(F.col("known_type").isNull(), F.lit(UNRESOLVED_TYPE)),
+            F.when(conditions == SEE_PAGE, F.lit(UNSPECIFIED_ELIGIBILITY)),
+            F.when(F.col("amount").isNull(), F.lit(UNSPECIFIED_AMOUNT)),
+            F.when(F.col("expiry_unknown"), F.lit(UNKNOWN_EXPIRY)),
+            F.when(F.col("program_links") == "", F.lit(MISSING_LINK)),
             F.when(
                 F.col("confidence") < LOW_CONFIDENCE,
                 F.concat(
-                    F.lit("low confidence ("), F.format_number("confidence", 2), F.lit(")")
+                    F.lit(LOW_CONFIDENCE_IS), F.format_number("confidence", 2), F.lit(")")
                 ),
             ),
         )
@@ -228,7 +244,7 @@ def normalise(
         flagged,
         F.concat(
             conditions,
-            F.lit(" [needs review: "),
+            F.lit(REVIEW_SUFFIX),
             F.array_join("review_reasons", "; "),
             F.lit("]"),
         ),

@@ -22,6 +22,7 @@ PROMPT = (
     "utility={utility}\n"
     "Text:\n{content}\n"
 )
+#: Columns of a request that the prompt names, in its order.
 _SLOTS = [
     "name",
     "source_url",

@@ -22,7 +22,7 @@ from gleanery.operators.normalise import PlaceDefaults, normalise
 from gleanery.operators.registry import select_sources
 from gleanery.operators.requests import extraction_requests
 from gleanery.operators.review import flag_broken_links, flag_incomplete
-from gleanery.plans.staging import shared_folder, stage
+from gleanery.plans.staging import remove, shared_folder, stage
 from gleanery.sources.readers import header_of, read_table
 from gleanery.sources.sinks import write_audit, write_review_queue, write_table
 
@@ -116,6 +116,8 @@ class Curated:
     failures: DataFrame
     #: Accepted records before duplicates were removed.
     records: DataFrame
+    #: Where the staged tables lie that the others read; the caller may remove it.
+    folder: str
 
 
 def build(
@@ -171,6 +173,7 @@ def build(
         rejects=answering.rejected(typed),
         failures=failures,
         records=records,
+        folder=folder,
     )
 
 
@@ -189,7 +192,7 @@ def run(
     """Build and write table, review queue and audit; returns their counts.
 
     ``before`` and ``after`` count records around the removal of duplicates, ``records`` and
-    ``flagged`` the rows written. Nothing is written if no source is selected.
+    ``flagged`` the rows written. Staged tables are removed. Nothing is written if no source is selected.
     """
     started = datetime.now()
     result = build(registry, captures, answers, run_date=run_date, **options)
@@ -199,6 +202,7 @@ def run(
     flagged = write_review_queue(result.table, review_path)
     write_audit(result.audit, log_dir, started)
     around = {r["step"]: r["records"] for r in counts_around(result.records).collect()}
+    remove(registry.sparkSession, result.folder)
     return {**around, "records": written, "flagged": flagged}
 
 

@@ -17,6 +17,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/gleanery-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of staged tables once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``df`` and read it back: later stages neither repeat its work nor lose it."""
     path = f"{folder}/{name}"

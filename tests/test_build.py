@@ -281,3 +281,51 @@ def test_read_table_of_a_run(spark, places):
     )
     table = read_table(spark, places["output_path"], include_source=True)
     assert {r.extraction_source for r in table.collect()} == {"llm"}
+
+
+def test_a_failing_request_ends_nothing(spark, places):
+    def extract(request):
+        if request["name"] == "Lake Energy":
+            raise RuntimeError("no answer")
+        return '{"programs": [{"program_name": "P", "level": "state"}]}'
+
+    built = build.build(
+        registry(spark), captures(spark), extract=build.each_request(extract), run_date="2026-02-01"
+    )
+    assert [tuple(r) for r in built.failures.collect()] == [(1, "RuntimeError: no answer")]
+    counts = {r.source: r.records for r in built.audit.collect()}
+    assert counts == {"Tampa Homes": 1, "Lake Energy": 0, "Tax Office": 1, "Grid Savings": 1}
+    assert built.table.count() == 1
+
+
+def test_recrawled_sources_count_once(spark):
+    again = captures(spark).withColumns({"error": F.lit(True), "status": F.lit(500)})
+    both = captures(spark).unionByName(again)
+    built = build.build(registry(spark), both, extract=one_per_request, run_date="2026-02-01")
+    assert {(r.source, r.records, r.content_type) for r in built.audit.collect()} == {
+        (name, 1, "html_text") for name, *_ in SOURCES
+    }
+    assert built.records.count() == len(SOURCES)
+
+
+def test_answers_out_of_order_and_missing_verdicts_are_refused(spark):
+    answers = spark.createDataFrame([(0, "{}"), (0, "{}")], "source_id long, payload string")
+    with pytest.raises(ValueError, match="first_pos"):
+        build.build(registry(spark), captures(spark), answers, run_date="2026-02-01")
+    with pytest.raises(ValueError, match="link_status"):
+        build.build(registry(spark), captures(spark), answers, run_date="2026-02-01", check_links=5)
+
+
+def test_staged_tables_are_removed(spark, places, monkeypatch):
+    folders = []
+    real = build.remove
+    monkeypatch.setattr(build, "remove", lambda s, folder: (folders.append(folder), real(s, folder)))
+    build.run(registry(spark), captures(spark), extract=one_per_request, run_date="2026-02-01", **places)
+    assert len(folders) == 1 and not Path(folders[0].removeprefix("file:")).exists()
+
+
+def test_markup_is_read_above_the_join_with_a_small_registry(spark):
+    pages = read_captures(captures(spark), registry(spark).limit(10))
+    plan = pages._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join Inner") :]
+    assert "regexp_replace" not in below and "static_html" in below

@@ -98,3 +98,24 @@ def test_registry_defaults(spark, tmp_path):
     Path(path, "r.csv").write_text(f'{header}\n7,0,"Town, rebates",https://t.org,city,,,Tampa,,,,\n', encoding="utf-8")
     row = readers.read_registry(spark, path, "csv").first()
     assert (row.name, row.state, row.county, row.render, row.timeout_ms) == ("Town, rebates", "FL", "", "auto", 45000)
+
+
+def test_headers_of_all_files(spark, tmp_path):
+    from gleanery.plans import build
+
+    path = str(tmp_path / "table")
+    sinks.write_table(final_frame(spark, {}, {}), path)
+    assert readers.header_of(spark, path) == TABLE_COLUMNS
+    (tmp_path / "table" / "part-99999-x-c000.csv").write_text("wrong,header\n")
+    assert readers.header_of(spark, path) == ["wrong", "header"]
+    code, report = build.gate(spark, path)
+    assert code == 1 and not {r.gate: r.passed for r in report.collect()}["columns"]
+
+
+def test_a_header_alone_is_not_empty(spark, tmp_path):
+    from gleanery.plans import build
+
+    path = str(tmp_path / "table")
+    sinks.write_table(final_frame(spark).limit(0), path)
+    passed = {r.gate: r.passed for r in build.gate(spark, path)[1].collect()}
+    assert passed["nonempty"] and passed["columns"] and not passed["coverage"]
