@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanery.llm import common, components
@@ -42,32 +42,56 @@ def _steiner_quadruples() -> list[tuple[int, ...]]:
 POSITIONS = _steiner_quadruples()
 
 
-def fingerprint(text: str) -> int:
-    """The 64 bits as a signed number; 0 for a text without words."""
-    words = text.encode("utf-8").lower().split()  # bytes: only A-Z and the six blanks
-    if not words:
-        return 0
-    if len(words) < WORDS:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(WORDS))))
-    hashes = [xxhash.xxh64_intdigest(s, SEED) for s in shingles]
-    total = np.zeros(64, np.int64)
-    for start in range(0, len(hashes), 8192):
-        part = np.array(hashes[start : start + 8192], "<u8").view(np.uint8)
-        total += np.unpackbits(part, bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
-    bits = (2 * total > len(hashes)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<i8")[0])
+def _mixed(hashes: np.ndarray, table: int) -> np.ndarray:
+    """The hashes as they are for table 0, others made from them for the rest."""
+    if not table:
+        return hashes
+    x = hashes + np.uint64(table * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
+def table_fingerprints(text: str, words: int = WORDS, tables: int = 1) -> list[int]:
+    """The 64 bits of each table as signed numbers; 0 for a text without words."""
+    own = text.encode("utf-8").lower().split()  # bytes: only A-Z and the six blanks
+    if not own:
+        return [0] * tables
+    if len(own) < words:
+        shingles = [b" ".join(own)]
+    else:
+        shingles = map(b" ".join, zip(*(own[i:] for i in range(words))))
+    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], "<u8")
+    found = []
+    for table in range(tables):
+        total = np.zeros(64, np.int64)
+        for start in range(0, len(hashes), 8192):
+            part = _mixed(hashes[start : start + 8192], table).view(np.uint8)
+            total += np.unpackbits(part, bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+        bits = (2 * total > len(hashes)).astype(np.uint8)
+        found.append(int(np.packbits(bits, bitorder="little").view("<i8")[0]))
+    return found
+
+
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """The fingerprint of table 0."""
+    return table_fingerprints(text, words)[0]
+
+
+def fingerprints(
+    df: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, tables: int = 1
+) -> DataFrame:
+    """``(id, fp, fps)`` for every row: the fingerprint of table 0, and those of all tables.
 
-def fingerprints(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """``(id, fp)`` for every row; a null text counts as empty. Other columns are left out."""
-    source = df.select(F.col(f"`{id}`").cast("long").alias("id"), common.whole(f"`{text}`").alias("t"))
+    A null text counts as empty. Other columns are left out.
+    """
+    source = df.select(F.col(f"`{id}`").cast("long").alias("id"), common.whole(text).alias("t"))
 
     def rows(batch):
-        return [batch.column(0), common.longs([fingerprint(t) for t in batch.column(1).to_pylist()])]
+        found = [table_fingerprints(t, words, tables) for t in batch.column(1).to_pylist()]
+        return [batch.column(0), common.longs([f[0] for f in found]), pa.array(found, pa.list_(pa.int64()))]
 
-    return common.map_batches(source, rows, "id long, fp long")
+    return common.map_batches(source, rows, "id long, fp long, fps array<long>")
 
 
 def _forest(links: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -122,7 +146,7 @@ def _read_lists(limit: int):
             if size > limit:
                 return [], [key]
             members = np.concatenate(held)
-            return [(int(members[i]), int(members[j])) for i, j in _list_links(members)], []
+            return [(int(members[i]), int(members[j]), *key) for i, j in _list_links(members)], []
 
         for batch in batches:
             sets, keys, fps = (batch.column(i).to_numpy() for i in range(3))
@@ -153,7 +177,7 @@ def _read_lists(limit: int):
 
 
 def _found(links, long) -> pa.RecordBatch:
-    rows = [(a, b, None, None) for a, b in links] + [(None, None, s, k) for s, k in long]
+    rows = links + [(None, None, *key) for key in long]
     columns = list(zip(*rows)) if rows else [(), (), (), ()]
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
     return pa.RecordBatch.from_arrays(
@@ -162,7 +186,10 @@ def _found(links, long) -> pa.RecordBatch:
 
 
 def _postings(fps: DataFrame) -> DataFrame:
-    """``(list, key, fp)``: for each set of positions the fingerprint's bytes there."""
+    """``(list, key, fp)``: for each set of positions the fingerprint's bytes there.
+
+    Lists are numbered through the tables: those of a table follow those of the one before.
+    """
 
     def key(positions):
         parts = [
@@ -171,13 +198,18 @@ def _postings(fps: DataFrame) -> DataFrame:
         ]
         return parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).bitwiseOR(parts[3])
 
+    first = F.col("table") * len(POSITIONS)
     entries = F.array(*[
-        F.struct(F.lit(i).alias("list"), key(positions).alias("key"))
+        F.struct((first + i).cast("int").alias("list"), key(positions).alias("key"))
         for i, positions in enumerate(POSITIONS)
     ])
     return fps.select(F.explode(entries).alias("e"), "fp").select("e.list", "e.key", "fp")
 
 
+def _table() -> Column:
+    return F.floor(F.col("list") / len(POSITIONS)).cast("int").alias("table")
+
+
 def _linked_by_centres(postings: DataFrame) -> DataFrame:
     """Links within long lists, without comparing pairs.
 
@@ -187,31 +219,32 @@ def _linked_by_centres(postings: DataFrame) -> DataFrame:
     value has a member within one bit, all members sent to it differ from that one in three
     bits at most, and all are linked to it.
     """
+    size = 1 + 32 + 496
 
     def around(batch):
         sets, fps = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-        one = {}
+        flips = {}
         for number in np.unique(sets).tolist():
-            free = [8 * p + i for p in range(8) if p not in POSITIONS[number] for i in range(8)]
-            single = [1 << bit for bit in free]
+            fixed = POSITIONS[number % len(POSITIONS)]
+            single = [1 << (8 * p + i) for p in range(8) if p not in fixed for i in range(8)]
             double = [x | y for x, y in combinations(single, 2)]
-            one[number] = np.array([0, *single, *double], np.uint64).view(np.int64)
-        size = 1 + 32 + 496
-        flips = np.stack([one[n] for n in sets.tolist()]) if len(sets) else np.zeros((0, size), np.int64)
-        values = (fps[:, None] ^ flips).ravel()
+            flips[number] = np.array([0, *single, *double], np.uint64).view(np.int64)
+        own = np.stack([flips[n] for n in sets.tolist()]) if len(sets) else np.zeros((0, size), np.int64)
         near = np.tile(np.arange(size) <= 32, len(sets))
-        return [pa.array(values), pa.array(np.repeat(fps, size)), pa.array(near)]
+        tables = np.repeat(sets // len(POSITIONS), size).astype(np.int32)
+        return [pa.array(tables), pa.array((fps[:, None] ^ own).ravel()), pa.array(np.repeat(fps, size)), pa.array(near)]
 
-    sent = common.map_batches(postings, around, "value long, fp long, near boolean")
-    centres = sent.where("near").groupBy("value").agg(F.min("fp").alias("centre"))
-    joined = sent.join(centres, "value").where("fp <> centre")
-    return joined.select(F.col("fp").alias("a"), F.col("centre").alias("b")).distinct()
+    sent = common.map_batches(postings, around, "table int, value long, fp long, near boolean")
+    centres = sent.where("near").groupBy("table", "value").agg(F.min("fp").alias("centre"))
+    joined = sent.join(centres, ["table", "value"]).where("fp <> centre")
+    return joined.select("table", F.col("fp").alias("a"), F.col("centre").alias("b")).distinct()
 
 
 def links(fps: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """Links ``(a, b)`` that connect what differs in at most three bits; ``fps`` has distinct fp.
+    """Links ``(table, a, b)`` that connect what differs in at most three bits in a table.
 
-    Every linked pair is connected in the result, not each one listed. An empty input has none.
+    ``fps`` has distinct rows ``(table, fp)``. Every linked pair is connected in the result,
+    not each one listed. An empty input has none.
     """
     postings = _postings(fps)
     dealt = postings.repartition("list", "key").sortWithinPartitions("list", "key")
@@ -219,27 +252,51 @@ def links(fps: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     found = common.stage(
         dealt.mapInArrow(_read_lists(limit), "a long, b long, list int, key long"), "found"
     )
-    short = found.where("a is not null").select("a", "b")
-    long = found.where("list is not null").select("list", "key")
+    short = found.where("a is not null").select(_table(), "a", "b")
+    long = found.where("a is null").select("list", "key")
     if not long.take(1):
         return short
     return short.union(_linked_by_centres(postings.join(long, ["list", "key"], "left_semi")))
 
 
+def _links_of_tables(rows: DataFrame, limit: int) -> DataFrame:
+    """Links between fingerprints of table 0 of rows that are linked in any table.
+
+    A fingerprint of a table is stood for by the smallest one of table 0 that comes with it.
+    """
+    every = rows.select("fp", F.posexplode("fps").alias("table", "own")).distinct()
+    heads = common.stage(every.groupBy("table", "own").agg(F.min("fp").alias("head")), "heads")
+    same = every.join(heads, ["table", "own"]).where("fp <> head").select("fp", "head")
+    near = links(heads.select("table", F.col("own").alias("fp")), limit)
+    left = heads.withColumnsRenamed({"own": "a", "head": "from"})
+    right = heads.withColumnsRenamed({"own": "b", "head": "to"})
+    return same.toDF("a", "b").union(near.join(left, ["table", "a"]).join(right, ["table", "b"]).select("from", "to"))
+
+
 def near_duplicates(
-    df: DataFrame, text: str = "text", id: str = "doc_id", limit: int = LIST_LIMIT
+    df: DataFrame,
+    text: str = "text",
+    id: str = "doc_id",
+    limit: int = LIST_LIMIT,
+    words: int = WORDS,
+    tables: int = 1,
 ) -> DataFrame:
     """``(id, fp, root, component)`` for every row of ``df``; ``root`` names the component too.
 
     ``component`` is the smallest id reachable over links of three or fewer differing bits,
-    the row's own included. A null id takes part but is never the smallest; a component of
+    the row's own included. With several ``tables`` each text has as many independent
+    fingerprints, and a link in any of them counts. A null id takes part but is never the smallest; a component of
     null ids only has a null. Repeated rows stay repeated; equal texts are always linked.
     Other columns are left out. Copies are counted once before any comparison, so a text
     held by a third of all rows is one fingerprint.
     """
-    rows = common.stage(fingerprints(df, text, id), "fingerprints")
+    rows = common.stage(fingerprints(df, text, id, words, tables), "fingerprints")
     distinct = common.stage(rows.groupBy("fp").agg(F.min("id").alias("smallest")), "distinct")
-    linked = components.roots(links(distinct.select("fp"), limit))
+    if tables == 1:
+        found = links(distinct.select(F.lit(0).alias("table"), "fp"), limit).select("a", "b")
+    else:
+        found = _links_of_tables(rows, limit)
+    linked = components.roots(found)
     # a root stands for its component; it is itself no child
     named = distinct.join(
         linked.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left"
@@ -249,19 +306,21 @@ def near_duplicates(
     return rows.join(labels, "fp").select("id", "fp", "root", "component")
 
 
-def one_of_each(df: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
+def one_of_each(
+    df: DataFrame, text: str = "text", id: str = "doc_id", words: int = WORDS, tables: int = 1
+) -> DataFrame:
     """One row of every component, with all columns of ``df`` as they are.
 
     It is the row with the smallest id, null ids last, then the smallest fingerprint. Of
     rows that repeat both, the one with the smallest text stays.
     """
     order = F.struct(F.col("id").isNull(), "id", "fp")
-    stays = near_duplicates(df, text, id).groupBy("root").agg(F.min(order).alias("o"))
+    stays = near_duplicates(df, text, id, LIST_LIMIT, words, tables).groupBy("root").agg(F.min(order).alias("o"))
     stays = stays.select(F.col("o.id").alias("sid"), F.col("o.fp").alias("sfp"))
     fp, place = common.fresh(df, "own_fp"), common.fresh(df, "own_place")
 
     def run(texts):
-        return common.longs([fingerprint(t) for t in texts])
+        return common.longs([fingerprint(t, words) for t in texts])
 
     marked = common.append_column(df, run, common.whole(text), fp, "long")
     own = marked.join(

@@ -67,8 +67,10 @@ def test_links_connect_what_all_pairs_connect(spark, limit):
     """Both for lists compared in a task and for those linked by centres."""
     fps = clustered(limit, 150)
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
-    frame = spark.createDataFrame([(x,) for x in signed], "fp long")
-    found = simhash.links(frame, limit).collect()
+    frame = spark.createDataFrame([(7, x) for x in signed] + [(2, x) for x in signed[:40]], "table int, fp long")
+    found = simhash.links(frame, limit)
+    assert {r.table for r in found.select("table").distinct().collect()} == {2, 7}
+    found = found.where("table = 7").collect()
     place = {x: i for i, x in enumerate(signed)}
     for r in found:
         assert ((r.a ^ r.b) & (2**64 - 1)).bit_count() <= 3
@@ -97,6 +99,32 @@ def test_components_of_chains_stars_and_repeats(spark):
     assert components.roots(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_several_tables_against_all_pairs(spark, sf_dir, texts):
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ids = sorted(texts)
+    prints = [simhash.table_fingerprints(texts[i], 2, 4) for i in ids]
+    assert [p[0] for p in prints] == [simhash.fingerprint(texts[i], 2) for i in ids]
+    top = list(range(len(ids)))
+    for t in range(4):
+        alone = plain_components([p[t] & (2**64 - 1) for p in prints])
+        for i, j in enumerate(alone):
+            a, b = sorted((top[i], top[j]))
+            top = [a if x == b else x for x in top]
+    found = simhash.near_duplicates(frame, words=2, tables=4).collect()
+    assert {r.id: r.component for r in found} == {i: ids[t] for i, t in zip(ids, top)}
+
+
+def test_tables_find_what_shares_most_shingles(texts):
+    """Against the share of common five-word shingles of all pairs."""
+    found = {i: simhash.table_fingerprints(t, 2, 8) for i, t in texts.items()}
+    shingles = {i: set(zip(*(t.lower().split()[k:] for k in range(5)))) for i, t in texts.items()}
+    for i, a in found.items():
+        for j, b in found.items():
+            both = shingles[i] | shingles[j]
+            if i < j and len(both) > 20 and any((x ^ y).bit_count() <= 3 for x, y in zip(a, b)):
+                assert len(shingles[i] & shingles[j]) >= 0.5 * len(both)
+
+
 def test_query_against_all_pairs(spark, sf_dir, texts):
     rows = {r.doc_id: r for r in simhash.op4_simhash(spark, sf_dir).collect()}
     ids = list(texts)
