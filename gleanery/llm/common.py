@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,11 +125,16 @@ def keep_rows(df: DataFrame, function: Callable[[list], list[bool]], source: Col
     return frame.mapInArrow(run, df.schema)
 
 
-def lists_of(array: pa.Array) -> Iterator[list]:
+def arrays_of(array: pa.Array) -> Iterator[np.ndarray]:
     """The lists of a list array of numbers, nulls as empty ones."""
     offsets, values = array.offsets.to_numpy(), array.values.to_numpy(zero_copy_only=False)
     for i, there in enumerate(array.is_valid().to_pylist()):
-        yield values[offsets[i] : offsets[i + 1]].tolist() if there else []
+        yield values[offsets[i] : offsets[i + 1]] if there else values[:0]
+
+
+def lists_of(array: pa.Array) -> Iterator[list]:
+    """The same as lists."""
+    return (values.tolist() for values in arrays_of(array))
 
 
 def strings(values: list[str]) -> pa.Array:

@@ -12,7 +12,10 @@ behind the edit falls on an old one; the rest of the text is then split as befor
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +30,15 @@ BEFORE = 2
 #: Words whose count a worker remembers.
 REMEMBERED = 500_000
 _SPLIT = regex.compile(bpe.SPLIT)
+_ASCII_SPLIT = re.compile(bpe.ASCII_SPLIT, re.ASCII)
 EDITS = "array<struct<start:bigint,removed:bigint,inserted:string>>"
 
 
+def split(text: str) -> list[str]:
+    """The pre-tokens of a text."""
+    return (_ASCII_SPLIT if text.isascii() else _SPLIT).findall(text)
+
+
 class Counter:
     """Tokens of single pre-tokens."""
 
@@ -58,8 +67,9 @@ def counter(ranks: bytes) -> Counter:
 class Tree:
     """Sums of lengths and counts over pre-tokens; a leaf holds what one became by edits."""
 
-    def __init__(self, lengths: list[int], counts: list[int]):
+    def __init__(self, lengths: Iterable[int], counts: Iterable[int]):
         self.leaves = 1 << max(0, len(lengths) - 1).bit_length()
+        self.given = np.asarray(lengths, np.int32), np.asarray(counts, np.int32)
         self.own: dict[int, tuple[list[int], list[int]]] = {}
         level = np.zeros((2, self.leaves), np.int64)
         level[0, : len(lengths)], level[1, : len(counts)] = lengths, counts
@@ -77,6 +87,19 @@ class Tree:
         node = self.leaves + i
         return ([self.length[node]], [self.count[node]]) if self.length[node] else ([], [])
 
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and counts of all pre-tokens, from the given ones and the changed leaves."""
+        if not self.own:
+            return self.given
+        out, at = ([], []), 0
+        for i in sorted(self.own):
+            for part, given, own in zip(out, self.given, self.own[i]):
+                part += [given[at:i], np.array(own, np.int32)]
+            at = i + 1
+        for part, given in zip(out, self.given):
+            part.append(given[at:])
+        return np.concatenate(out[0]), np.concatenate(out[1])
+
     def find(self, position: int) -> tuple[int, int]:
         """The leaf that holds the character at ``position``, and where the leaf starts."""
         node, start = 1, 0
@@ -121,7 +144,7 @@ class Tree:
 class Counted:
     """A text with its tree; edits change both and tell how much was encoded."""
 
-    def __init__(self, text: str, lengths: list[int], counts: list[int], count: Counter):
+    def __init__(self, text: str, lengths: Iterable[int], counts: Iterable[int], count: Counter):
         self.text, self.count, self.tree = text, count, Tree(lengths, counts)
 
     @property
@@ -143,7 +166,7 @@ class Counted:
             return len(words)
         leaf, at = tree.find(max(start - 1, 0))
         # to the start of pre-tokens BEFORE the one that ends at the edit
-        before = sum(1 for e in np.cumsum(tree.leaf(leaf)[0]).tolist() if at + e < start)
+        before = sum(1 for e in accumulate(tree.leaf(leaf)[0]) if at + e < start)
         while before < BEFORE and (near := tree.filled_before(leaf)) >= 0:
             leaf = near
             at -= tree.length[tree.leaves + leaf]
@@ -152,7 +175,7 @@ class Counted:
         lengths, counts, words = [], [], []
         moved, edited_to = len(new) - len(old), start + len(inserted)
         used, used_to = [leaf], at + tree.length[tree.leaves + leaf]
-        ends, last = set(np.cumsum([at, *tree.leaf(leaf)[0]]).tolist()), leaf
+        ends, last = set(accumulate(tree.leaf(leaf)[0], initial=at)), leaf
         position = at
         matches = _SPLIT.finditer(new, at)
         while position < len(new):
@@ -161,7 +184,7 @@ class Counted:
                     last = tree.filled_after(last)
                     used.append(last)
                     own = tree.leaf(last)[0]
-                    ends.update((used_to + np.cumsum(own)).tolist())
+                    ends.update(accumulate(own, initial=used_to))
                     used_to += sum(own)
                 if position - moved in ends:
                     break
@@ -188,6 +211,11 @@ class Counted:
         return len(words)
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*arrays, np.zeros(0, np.int32)]).astype(np.int32)))
+
+
 def index(df: DataFrame, ranks: bytes, text: str = "text") -> DataFrame:
     """Every row with ``lengths`` and ``counts``: characters and tokens of its pre-tokens.
 
@@ -198,15 +226,12 @@ def index(df: DataFrame, ranks: bytes, text: str = "text") -> DataFrame:
 
     def run(texts):
         count = counter(shared.value)
-        words = [_SPLIT.findall(t) for t in texts]
-        offsets = pa.array(np.cumsum([0, *map(len, words)]), pa.int32())
-        lengths = pa.ListArray.from_arrays(
-            offsets, pa.array([len(w) for x in words for w in x], pa.int32())
-        )
-        counts = pa.ListArray.from_arrays(
-            offsets, pa.array([n for x in words for n in count(x)], pa.int32())
-        )
-        return pa.StructArray.from_arrays([lengths, counts], ["lengths", "counts"])
+        lengths, counts = [], []
+        for text in texts:
+            words = split(text)
+            lengths.append(np.fromiter(map(len, words), np.int32, len(words)))
+            counts.append(np.array(count(words), np.int32))
+        return pa.StructArray.from_arrays([_lists(lengths), _lists(counts)], ["lengths", "counts"])
 
     name = common.fresh(df, "tree")
     kept = [F.col(f"`{c}`") for c in df.columns if c not in ("lengths", "counts")]
@@ -233,7 +258,7 @@ def recount(df: DataFrame, ranks: bytes, edits: Column, text: str = "text") -> D
         count = counter(shared.value)
         columns = [given.field(i) for i in range(4)]
         rows = zip(
-            columns[0].to_pylist(), common.lists_of(columns[1]), common.lists_of(columns[2]),
+            columns[0].to_pylist(), common.arrays_of(columns[1]), common.arrays_of(columns[2]),
             columns[3].to_pylist(),
         )
         out = []
@@ -243,12 +268,11 @@ def recount(df: DataFrame, ranks: bytes, edits: Column, text: str = "text") -> D
             for change in changes or ():
                 if change is not None:
                     encoded += own.edit(change["start"] or 0, change["removed"] or 0, change["inserted"] or "")
-            leaves = [own.tree.leaf(i) for i in range(own.tree.leaves)] if encoded else [(lengths, counts)]
-            out.append((
-                own.text, [n for x, _ in leaves for n in x], [n for _, x in leaves for n in x],
-                before, own.tokens, encoded,
-            ))
-        fields = [pa.array([r[i] for r in out], kind[i].type) for i in range(len(kind))]
+            out.append((own.text, *own.tree.arrays(), before, own.tokens, encoded))
+        fields = [
+            _lists([r[i] for r in out]) if i in (1, 2) else pa.array([r[i] for r in out], kind[i].type)
+            for i in range(len(kind))
+        ]
         return pa.StructArray.from_arrays(fields, [f.name for f in kind])
 
     name = common.fresh(df, "edited")

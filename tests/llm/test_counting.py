@@ -41,6 +41,7 @@ def test_random_edits_keep_the_leaves_of_a_whole_split(ranks):
             leaves = [own.tree.leaf(i) for i in range(own.tree.leaves)]
             assert own.text == text
             assert [n for x, _ in leaves for n in x] == list(map(len, words)), (text, edit)
+            assert [x.tolist() for x in own.tree.arrays()] == [list(map(len, words)), count(words)]
             assert [n for _, x in leaves for n in x] == count(words)
             assert own.tree.length[1] == len(text) and own.tokens == sum(count(words))
 
