@@ -24,7 +24,7 @@ from gleanery.llm import bpe, common
 
 ROW_TOKENS = 2048
 #: Bytes of text that a shard is planned for, and ids after which a shard is packed anyway.
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 4_000_000
 SHARD_TOKENS = 16_000_000
 PACKED = (
     "shard int, part int, row int, n_tokens int, ids binary, cu_seqlens array<int>, "
@@ -206,8 +206,8 @@ def pack(
         if held:
             yield from flush(shard, part, held)
 
-    return dealt.repartition(shards, "shard").sortWithinPartitions(
-        "shard", "id", "piece").mapInArrow(run, PACKED)
+    # as many partitions as the session has; a partition's shards follow one another
+    return dealt.repartition("shard").sortWithinPartitions("shard", "id", "piece").mapInArrow(run, PACKED)
 
 
 def read_ranks(path: str) -> bytes:
