@@ -40,3 +40,18 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", SOME)
 def test_query_matches_its_sql(spark, name):
     assert difference(spark, connect(SF), name, SF) is None
+
+
+def test_entry_without_the_corpus_package():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = (
+        "import sys; sys.modules['gleanery.llm'] = None\n"
+        "import __spark_entry__ as e\n"
+        "print('pipeline' in e.queries(), len(e.queries()) == len(e.oracle_sql()))"
+    )
+    root = Path(__file__).resolve().parents[1]
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == ["False", "True"]
