@@ -35,12 +35,12 @@ ASCII_SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 )
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 #: Lengths of the prefixes whose path is remembered, and how many a worker remembers.
 HEADS = (10, 7, 4)
-REMEMBERED_HEADS = 60_000
+REMEMBERED_HEADS = 40_000
 #: Arcs whose look-up a worker remembers.
-REMEMBERED_ARCS = 400_000
+REMEMBERED_ARCS = 250_000
 #: Longest word that is remembered.
 REMEMBERED_CHARS = 64
 
@@ -247,6 +247,28 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids")
     return common.append_column(df, run, common.whole(text), ids, "array<int>")
 
 
+def encode_and_check(
+    df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", check: str = "round_trip"
+) -> DataFrame:
+    """``encode``, and in ``check`` whether the ids decode to the whole text again.
+
+    Both happen in one pass, so that a task has one Python worker and one automaton.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(texts):
+        tool, packed, same = codec(shared.value), [], []
+        for value in texts:
+            packed.append(tool.encode(value))
+            same.append(tool.decode(np.frombuffer(packed[-1], np.int32).tolist()) == value)
+        return pa.StructArray.from_arrays([_lists(packed), pa.array(same, pa.bool_())], ["ids", "same"])
+
+    name = common.fresh(df, "coded")
+    made = common.append_column(df, run, common.whole(text), name, "struct<ids:array<int>,same:boolean>")
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (ids.lower(), check.lower())]
+    return made.select(*kept, F.col(f"`{name}`.ids").alias(ids), F.col(f"`{name}`.same").alias(check))
+
+
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Every row with the text that its ids spell in a new column ``text``; null ids spell ''.
 
