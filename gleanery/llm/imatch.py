@@ -1,6 +1,7 @@
 """Document fingerprints by I-Match over randomised lexicons.
 
-The lexicon is every term whose inverse document frequency lies in a band. A document's
+The lexicon is every term whose inverse document frequency lies in a band, and all terms of
+documents that have only terms too frequent for it, such as copies of one text. A document's
 terms in it, distinct and sorted, are hashed as a whole and for each of several random
 subsets of the lexicon. Subsets keep a quarter of the lexicon down to one term in 1024, so
 that for short and long documents some of them change and some don't when a part of the
@@ -122,8 +123,8 @@ def likeness(pairs: list[tuple[str, str]]) -> list[float]:
     return [1.0 if x == y else float(v) for (x, y), v in zip(pairs, values)]
 
 
-def lexicon_terms(df: DataFrame, text: str = "text") -> list[str]:
-    """The terms of ``df`` within the band, counted over all rows (null texts as empty ones).
+def _frequent_terms(df: DataFrame, text: str) -> tuple[list[str], list[str]]:
+    """The terms of ``df`` within the band, and those that are too frequent for it.
 
     A term frequent enough in the corpus is frequent enough in some part of it: a first pass
     finds the terms that are so in some task's rows, a second one counts these everywhere.
@@ -164,10 +165,46 @@ def lexicon_terms(df: DataFrame, text: str = "text") -> list[str]:
         rows.mapInArrow(exact, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")), "terms"
     )
     documents = totals.where("term is null").agg(F.sum("n")).first()[0] or 0
-    kept = totals.where(
-        F.col("term").isNotNull() & (F.col("n") >= least * documents) & (F.col("n") <= most * documents)
+    kept = totals.where(F.col("term").isNotNull() & (F.col("n") >= least * documents))
+    found = kept.select("term", (F.col("n") <= most * documents).alias("within")).collect()
+    return [r.term for r in found if r.within], [r.term for r in found if not r.within]
+
+
+def lexicon_terms(df: DataFrame, text: str = "text") -> list[str]:
+    """The terms of ``df`` within the band, counted over all rows (null texts as empty ones)."""
+    return _frequent_terms(df, text)[0]
+
+
+def full_lexicon(df: DataFrame, text: str = "text") -> list[str]:
+    """The terms within the band, and all terms of the texts that have frequent terms only.
+
+    Of a text that a third of all rows hold, no term is rare enough for the band; nor need one
+    be of a short text. Terms below the band are too rare for the lexicon in any case. Those
+    above it are at most (mean distinct terms) * exp(``IDF_LOW``), whatever the corpus.
+    """
+    words, above = _frequent_terms(df, text)
+    if not above:
+        return words
+    shared = df.sparkSession.sparkContext.broadcast(
+        tuple({w.encode("utf-8", "surrogatepass") for w in x} for x in (words, above))
     )
-    return [r.term for r in kept.select("term").collect()]
+
+    def left_out(batches):
+        within, frequent = shared.value
+        found: set[bytes] = set()
+        for batch in common.slices(batches):
+            for value in batch.column(0).to_pylist():
+                # nearly all have a term of the band among their first words
+                if not within.isdisjoint(terms(value[: max(0, value.rfind(" ", 0, 400))])):
+                    continue
+                own = set(terms(value))
+                if within.isdisjoint(own):
+                    found |= own & frequent
+        more = [w.decode("utf-8", "surrogatepass") for w in found]
+        yield pa.RecordBatch.from_arrays([pa.array(more, pa.string())], ["term"])
+
+    more = df.select(common.whole(text).alias("t")).mapInArrow(left_out, "term string").distinct()
+    return words + [r.term for r in more.collect()]
 
 
 def fingerprints(
@@ -278,7 +315,7 @@ def with_next(df: DataFrame, words: list[str], text: str = "text", id: str = "do
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     documents = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = with_next(documents, lexicon_terms(documents))
+    found = with_next(documents, full_lexicon(documents))
     return found.select(
         F.col("id").alias("doc_id"),
         "n_chars",

@@ -83,3 +83,16 @@ def test_messy_rows(spark, messy, empty):
     assert imatch.with_next(empty, imatch.lexicon_terms(empty)).collect() == []
     one = spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")
     assert [r.edited for r in imatch.with_next(one, []).collect()] == ["abcdab"]
+
+
+def test_copies_that_hold_a_third_of_the_rows_have_terms(spark):
+    hot = " ".join(f"hot{i}" for i in range(90))
+    rows = [(i, hot if i % 3 == 0 else " ".join(f"w{(i * 37 + k * k) % 900}" for k in range(90))) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    words = imatch.full_lexicon(frame)
+    assert set(hot.split()) <= set(words) and len(words) == len(set(words))
+    assert not set(hot.split()) & set(imatch.lexicon_terms(frame))
+    found = {r.id: r for r in imatch.with_next(frame, words).collect()}
+    assert len(found) == len(rows)
+    for i in range(0, 120, 3):
+        assert found[i].near_edited > 0.2 and found[i].near_next < found[i].near_edited
