@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and strings that look random to two Markov models.
 
 The patterns find assignments, access keys and hexadecimal runs. The method adds strings of
-``LEAST_CHARS`` or more token characters, outside those spans, that a character model of
-random strings explains better than one of ordinary identifiers: the log-likelihood ratio,
-per character, exceeds ``LEAST_RATIO``. Both models are first-order, with a start state,
+``LEAST_CHARS`` or more token characters that a character model of random strings explains
+better than one of ordinary identifiers: the log-likelihood ratio, per character, exceeds
+``LEAST_RATIO``. Of a string that overlaps those spans each piece outside them is judged; one
+shorter than ``LEAST_CHARS`` must reach the total of a string of that length. Both models are first-order, with a start state,
 and are trained from labelled samples in the corpus itself: strings that the patterns found
 are random ones, words made of letters are ordinary ones. Every document contributes.
 """
@@ -59,6 +60,17 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
+def _outside(start: int, stop: int, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int]]:
+    """The pieces from ``start`` to ``stop`` that no span of ``base`` covers, in order."""
+    pieces = []
+    for a, _, b, _ in base:
+        if a < stop and start < b:
+            if start < a:
+                pieces.append((start, a))
+            start = max(start, b)
+    return [*pieces, (start, stop)] if start < stop else pieces
+
+
 def transitions(*strings: str) -> np.ndarray:
     """Numbers of the strings' transitions, each string's first from the start state."""
     letters = "\0".join(strings).encode("latin-1", "replace")
@@ -83,16 +95,20 @@ class Scanner:
         """Nats per character by which the random model explains the string better."""
         return float(self.ratios[transitions(string)].mean())
 
+    def random(self, string: str) -> bool:
+        """Whether the models call it random; a short piece needs the whole of the least length's nats."""
+        return self.ratio(string) * min(1.0, len(string) / LEAST_CHARS) > self.least
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """``(start, kind number, end)`` of all spans, in order of start, then kind."""
         base = base_spans(text)
         found = [(start, kind, stop) for start, kind, stop, _ in base]
         for m in _CANDIDATE.finditer(text):
             start, stop = m.span()
-            if any(a < stop and start < b for a, _, b, _ in base):
-                continue
-            if self.ratio(m[0]) > self.least:
-                found.append((start, 3, stop))
+            # what lies between the patterns' matches, the whole if there are none
+            for a, b in _outside(start, stop, base):
+                if self.random(text[a:b]):
+                    found.append((a, 3, b))
         return sorted(found)
 
 

@@ -103,3 +103,18 @@ def test_messy_rows(spark, messy, empty):
 
 def test_overlapping_spans_become_one_mark():
     assert secrets.blank("ab cdef gh", [(3, 0, 6), (4, 2, 7)], "*") == "ab * gh"
+
+
+def test_what_lies_beside_a_pattern_is_judged():
+    key, rest, run = "AKIA" + "QX7" * 6, "kR3vTz9" * 6, "0123456789abcdef" * 2
+    text = f"see {key}/{rest} and Zq{run}ZZwQ9xTT or {run}"
+    at, hexed = text.index("/"), text.index("Zq")
+    for nats, short in ((1.0, False), (3.0, True)):
+        scanner = secrets.Scanner(secrets.Model((nats,) * secrets.SIZE**2))
+        found = [s for s in scanner.spans(text) if s[1] == 3]
+        want = [(at, 3, at + 1 + len(rest))]
+        assert found == want + [(hexed + 2 + len(run), 3, hexed + 10 + len(run))] * short
+    assert rest not in secrets.blank(text, scanner.spans(text), "*")
+    assert scanner.spans("Zq" + run) == [(2, 2, 34)]  # two characters are too few
+    plain = secrets.Scanner(secrets.Model((0.1,) * secrets.SIZE**2))
+    assert {k for _, k, _ in plain.spans(text)} == {1, 2}
