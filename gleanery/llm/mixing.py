@@ -113,7 +113,7 @@ def mix(
     neither, the least budget that draws every document at least once. With ``placed``, the
     columns ``mix_epoch``, ``mix_block``, ``mix_key`` and ``mix_tokens`` are added (replacing
     such columns): within a source, the order of drawing is epoch, key, block. A null source
-    is a source like any other; a source without a token is not drawn. Rows without tokens go
+    is a source like any other; one without a token is drawn once, or not if there is a budget. Rows without tokens go
     with their block. Rows with one id share a block; repeated rows are drawn each. Empty
     tables give no rows.
     """
@@ -162,9 +162,11 @@ def mix(
         .agg(F.min(F.struct("key", "mix_block", (F.col("rest") - F.col("upto") + F.col("n")).alias("left"))).alias("cut"))
         .select("plan_source", "epochs", "cut.key", "cut.mix_block", "cut.left")
     )
+    # without a budget, sources without tokens are one epoch: a cut that lies behind no block
+    once = [(r.mix_source, 1, -(2**63), -1, 0) for r in totals if not r.n and budget is None]
     # one row a source, as the plan; collected sizes are known to be within MOST_SOURCES
     cuts = df.sparkSession.createDataFrame(
-        [tuple(r) for r in used.collect()],
+        [*(tuple(r) for r in used.collect()), *once],
         "plan_source string, epochs long, cut_key long, cut_block int, room long",
     )
     there = rows.join(F.broadcast(cuts), F.col("mix_source").eqNullSafe(F.col("plan_source")))

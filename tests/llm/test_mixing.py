@@ -99,3 +99,14 @@ def test_messy_rows(spark, messy, empty):
     again = mixing.mix(clashing, repeat_limit=2.0)
     assert sorted(map(str, drawn.collect())) == sorted(map(str, again.collect()))
     assert mixing.mix(empty, budget_share=1.0, entropy_target=0.9).collect() == []
+
+
+def test_sources_without_tokens_are_drawn_once_without_a_budget(spark, messy):
+    frame = messy.select("doc_id", "text", "source")
+    extra = spark.createDataFrame([(20, None, "none"), (21, " ", "none"), (21, " ", "none")], frame.schema)
+    for given in (frame.union(extra), extra):
+        drawn = Counter(mixing.mix(given, repeat_limit=2.0, placed=False).collect())
+        own = Counter(given.collect())
+        assert drawn.keys() == own.keys() and all(n <= drawn[r] for r, n in own.items())
+        assert all(drawn[r] == n for r, n in own.items() if r.source == "none")
+    assert mixing.mix(extra, budget=5).collect() == []
