@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from gleanery.llm import infill
+from messy_rows import LONG, MESSY
+
+
+def plain(id, text, seed=1, kept=90, first=20):
+    """Form, output, units, lengths, by splitting the whole text."""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"{seed}:{'' if id is None else id}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in range(0, 32, 8)]
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= kept:
+        return "plain", text, len(units), None, None
+    one, two = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = ("".join(units[a:b]) for a, b in ((0, one), (one, two), (two, None)))
+    if h[3] % 100 < first:
+        return "spm", f"<S>{s}<P>{p}<M>{m}", len(units), len(p), len(m)
+    return "psm", f"<P>{p}<S>{s}<M>{m}", len(units), len(p), len(m)
+
+
+TEXTS = ["", "a", "<", "ab cd", "<P", "P>x<", "x<S>y", "é人🙂 zu", "\n\n", "word" * 700, "a1" * 900, " " * 1500, LONG]
+
+
+@pytest.mark.parametrize("block", [1, 3, 64, 512])
+def test_cuts_at_every_unit(block):
+    draw = random.Random(block)
+    texts = [t[:1500] for t in TEXTS] + ["".join(draw.choice("abZ 1é人<") for _ in range(draw.randrange(400))) for _ in range(30)]
+    for text in texts:
+        ends = [m.end() for m in re.finditer("[A-Za-z]+|[^A-Za-z]", text)]
+        tree = infill.UnitTree(text, block)
+        assert tree.n_units == len(ends)
+        assert [tree.cut(k) for k in range(len(ends) + 2)] == [0, *ends, len(text)]
+
+
+def test_rows_against_brute_force(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS * 8)] + [(None, "no id"), (-5, "under nought")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    made = infill.fill_in_middle(frame)
+    out = made.select("*", infill.restored(made.infill.output, made.infill.form).alias("again")).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert tuple(r.infill) == plain(r.doc_id, r.text) and r.again == r.text
+    assert {r.infill.form for r in out} == {"plain", "psm", "spm"}
+
+
+def test_seeds_and_rates(spark):
+    rows = [(i, f"text number {i} of some words") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    rates = infill.Rates(plain=50, suffix_first=100)
+    for r in infill.fill_in_middle(frame, seed=9, rates=rates, made="m").collect():
+        assert tuple(r.m) == plain(r.doc_id, r.text, 9, 50, 100)
+
+
+def test_messy_rows(spark, messy, empty):
+    made = infill.fill_in_middle(messy)
+    assert made.columns == [*messy.columns, "infill"]
+    out = made.collect()
+    assert sorted((tuple(r)[:-1] for r in out), key=str) == sorted(MESSY, key=str)
+    assert all(tuple(r.infill) == plain(r.doc_id, r.text or "") for r in out)
+    assert infill.fill_in_middle(empty).collect() == []
+    clash = messy.withColumnsRenamed({"lang": "Given", "score": "output", "fingerprint": "Infill"})
+    assert len(infill.fill_in_middle(clash).collect()) == len(MESSY)
+    assert infill.fill_in_middle(clash).columns == ["doc_id", "text", "Given", "source", "n_chars", "output", "infill"]
+
+
+def test_query_matches_its_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{Path(sf_dir)}/documents.parquet'")
+    rows = [tuple(r) for r in infill.op12_infill(spark, sf_dir).collect()]
+    assert sorted(rows) == sorted(con.execute(infill.INFILL_SQL).fetchall())
