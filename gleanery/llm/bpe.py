@@ -8,9 +8,10 @@ byte string. All arcs of one label lead to one state, so a state is kept as the
 gadgets made it and the number of the last of them; a copy is the difference from the state
 it was copied from, and copying takes constant time and memory.
 
-Encoding walks the byte positions of a pre-split word; at each the one reachable state is
-known, and the arcs for the vocabulary's tokens found there are taken by table look-up. The
-walk is linear in the word's length. Decoding concatenates the labels of the arcs.
+Encoding walks the arcs over a pre-split word by table look-up: of the vocabulary's tokens that
+are found at a position the longest whose arc the state has is taken. Each position of a word is
+reached by one path only, so where a walk can't go on it steps back and never returns to that
+position; the walk is linear in the word's length. Decoding concatenates the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -35,10 +36,7 @@ ASCII_SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 )
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 60_000
-#: Lengths of the prefixes whose path is remembered, and how many a worker remembers.
-HEADS = (10, 7, 4)
-REMEMBERED_HEADS = 40_000
+REMEMBERED = 200_000
 #: Arcs whose look-up a worker remembers.
 REMEMBERED_ARCS = 250_000
 #: Longest word that is remembered.
@@ -68,12 +66,22 @@ class MergeAutomaton:
         for step, (u, v, w) in enumerate(merges):
             self._gadget(step, u, v, w)
         self.ids = {label: i for i, label in enumerate(labels) if self.alive[i]}
-        #: By its last three bytes: the most bytes a token has.
-        self.reach: dict[bytes, int] = {}
-        for label in self.ids:
-            self.reach[label[-3:]] = max(self.reach.get(label[-3:], 2), len(label))
+        self.lengths = [len(label) for label in labels]
+        #: By token: the longest other token that it begins with, or -1.
+        self.shorter = [-1] * len(labels)
+        #: The tokens' letters as a trie, by node and byte; its nodes' tokens, or -1.
+        self._next: dict[int, int] = {}
+        self._ends = [-1]
+        for label, i in sorted(self.ids.items()):  # shorter ones come before what they begin
+            node = 0
+            for byte in label:
+                if self._ends[node] >= 0:
+                    self.shorter[i] = self._ends[node]
+                node = self._next.setdefault(node << 8 | byte, len(self._ends))
+                if node == len(self._ends):
+                    self._ends.append(-1)
+            self._ends[node] = i
         self._table: dict[int, bool] = {}
-        self._heads: dict[bytes, list[int]] = {}
 
     def _gadget(self, step: int, u: int, v: int, w: int) -> None:
         if not (self.alive[u] and self.alive[v]) or self.alive[w] or not self._arc(u, step, v, step):
@@ -109,46 +117,42 @@ class MergeAutomaton:
             found = self._table[key] = self._arc(last, end, token, end)
         return found
 
-    def _walk(self, word: bytes) -> list[int]:
-        """By position: the token that ends there on the path of the bytes before it.
-
-        The path of a prefix doesn't depend on what follows, so prefixes are remembered.
-        Exactly one arc on an accepted path ends at each byte: the first one found does.
-        """
-        known = 0
-        for known in HEADS:
-            if len(word) > known:
-                head = word[:known]
-                at = self._heads.get(head)
-                if at is None:
-                    at = self._walk(head)
-                    if len(self._heads) >= REMEMBERED_HEADS:
-                        self._heads.clear()
-                    self._heads[head] = at
-                at = at.copy()
+    def _longest(self, word: bytes, start: int) -> int:
+        """The longest token at a position, or -1."""
+        node, found, step, ends = 0, -1, self._next.get, self._ends
+        for byte in word[start:]:
+            node = step(node << 8 | byte)
+            if node is None:
                 break
-        else:
-            known, at = 0, [-1]
-        get, known_arc, reach, size = self.ids.get, self._table.get, self.reach, len(self.labels)
-        for stop in range(known + 1, len(word) + 1):
-            tail = word[max(0, stop - 3) : stop]
-            for start in range(max(0, stop - reach.get(tail, 2)), stop):
-                token = get(word[start:stop])
-                if token is None:
-                    continue
-                there = start == 0 or known_arc(at[start] * size + token)
-                if there or there is None and self.follows(at[start], token):
-                    at.append(token)
-                    break
-        return at
+            if ends[node] >= 0:
+                found = ends[node]
+        return found
 
     def encode(self, word: bytes) -> list[int]:
         """The labels of the one accepted path that spells ``word``."""
-        at, path, stop, labels = self._walk(word), [], len(word), self.labels
-        while stop:
-            path.append(at[stop])
-            stop -= len(labels[at[stop]])
-        return path[::-1]
+        if len(word) < 2:
+            return [self.ids[word]] if word else []
+        known, size, lengths, shorter = self._table.get, len(self.labels), self.lengths, self.shorter
+        path, at, dead, stop = [], 0, set(), len(word)
+        token = self._longest(word, 0)
+        while at < stop:
+            while token >= 0:
+                if at + lengths[token] not in dead:
+                    if not path:
+                        break
+                    there = known(path[-1] * size + token)
+                    if there or there is None and self.follows(path[-1], token):
+                        break
+                token = shorter[token]
+            if token >= 0:
+                path.append(token)
+                at += lengths[token]
+                token = self._longest(word, at)
+            else:  # no arc leads on; the token that led here gives way to a shorter one
+                dead.add(at)
+                token = path.pop()
+                at -= lengths[token]
+        return path
 
 
 class Codec:
@@ -195,11 +199,10 @@ class Codec:
     def pack(self, words: list[str]) -> bytes:
         """Ids of pre-split words as little-endian 32-bit numbers."""
         found = list(map(self.young.get, words))
-        if None in found:
-            for i, packed in enumerate(found):
-                if packed is None:
-                    word = words[i]
-                    found[i] = self.young.get(word) or self._word(word)
+        place, left = -1, found.count(None)
+        for _ in range(left):
+            place = found.index(None, place + 1)
+            found[place] = self.young.get(words[place]) or self._word(words[place])
         return b"".join(found)
 
     def encode(self, text: str) -> bytes:
@@ -247,26 +250,46 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids")
     return common.append_column(df, run, common.whole(text), ids, "array<int>")
 
 
-def encode_and_check(
-    df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", check: str = "round_trip"
-) -> DataFrame:
-    """``encode``, and in ``check`` whether the ids decode to the whole text again.
+def _coded_twice(df: DataFrame, vocabulary: str, text: str, made: str, kind: str, names: tuple[str, str], second):
+    """``df`` with columns of the ids and of what ``second`` makes of the codec, the ids and the text.
 
-    Both happen in one pass, so that a task has one Python worker and one automaton.
+    Both come from one pass, so that a task has one Python worker and one automaton.
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(texts):
-        tool, packed, same = codec(shared.value), [], []
-        for value in texts:
-            packed.append(tool.encode(value))
-            same.append(tool.decode(np.frombuffer(packed[-1], np.int32).tolist()) == value)
-        return pa.StructArray.from_arrays([_lists(packed), pa.array(same, pa.bool_())], ["ids", "same"])
+        tool = codec(shared.value)
+        packed = [tool.encode(t) for t in texts]
+        other = [second(tool, np.frombuffer(p, np.int32).tolist(), t) for p, t in zip(packed, texts)]
+        return pa.StructArray.from_arrays([_lists(packed), pa.array(other, made)], ["ids", "other"])
 
     name = common.fresh(df, "coded")
-    made = common.append_column(df, run, common.whole(text), name, "struct<ids:array<int>,same:boolean>")
-    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (ids.lower(), check.lower())]
-    return made.select(*kept, F.col(f"`{name}`.ids").alias(ids), F.col(f"`{name}`.same").alias(check))
+    coded = common.append_column(df, run, common.whole(text), name, f"struct<ids:array<int>,other:{kind}>")
+    taken = [n.lower() for n in names]
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+    return coded.select(*kept, F.col(f"`{name}`.ids").alias(names[0]), F.col(f"`{name}`.other").alias(names[1]))
+
+
+def encode_and_check(
+    df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", check: str = "round_trip"
+) -> DataFrame:
+    """``encode``, and in ``check`` whether the ids decode to the whole text again."""
+
+    def same(tool, own, value):
+        return tool.decode(own) == value
+
+    return _coded_twice(df, vocabulary, text, pa.bool_(), "boolean", (ids, check), same)
+
+
+def encode_and_decode(
+    df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode``, and in ``decoded`` the text that the ids spell."""
+
+    def spelt(tool, own, value):
+        return tool.decode(own)
+
+    return _coded_twice(df, vocabulary, text, pa.string(), "string", (ids, decoded), spelt)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -289,13 +312,9 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     documents = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = encode(documents, vocabulary).select("doc_id", "ids")
-    digests = coded.select(
+    return encode_and_decode(documents, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return decode(digests, vocabulary).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
