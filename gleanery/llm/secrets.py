@@ -2,16 +2,22 @@
 
 The patterns find assignments, access keys and hexadecimal runs. The method adds strings of
 ``LEAST_CHARS`` or more token characters that a character model of random strings explains
-better than one of ordinary identifiers: the log-likelihood ratio, per character, exceeds
-``LEAST_RATIO``. Of a string that overlaps those spans each piece outside them is judged; one
-shorter than ``LEAST_CHARS`` must reach the total of a string of that length. Both models are first-order, with a start state,
-and are trained from labelled samples in the corpus itself: strings that the patterns found
-are random ones, words made of letters are ordinary ones. Every document contributes.
+better than one of ordinary identifiers: the log-likelihood ratio must exceed ``LEAST_NATS`` and
+``LEAST_RATIO`` for each character, so short strings need more a character. Of a string that
+overlaps the patterns' spans each piece outside them is judged by the same rule, whatever its length.
+
+Both models are first-order, with a start state, and trained from labelled samples. Random are the
+strings that the patterns found and strings drawn from the usual alphabets of keys. Ordinary are
+whole tokens, digits, capitals, hyphens and slashes included, that the patterns don't cover and
+that occur in several documents, and identifiers in the usual forms: names in each convention,
+paths, numbers, dates, times, UUIDs and rulers. Every document contributes.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,9 +28,14 @@ from pyspark.sql import functions as F
 from gleanery.llm import common
 
 KINDS = ("assign", "access", "hex", "markov")
-#: Shortest string that the models judge, and the nats per character it must exceed.
-LEAST_CHARS = 20
-LEAST_RATIO = 0.5
+#: Shortest string that the models judge, the nats it must exceed, and those per character.
+LEAST_CHARS, LEAST_NATS, LEAST_RATIO = 16, 15.0, 0.5
+#: Documents that must have a token for it to be ordinary; its shortest length.
+SEVERAL, TOKEN_CHARS = 2, 4
+#: Drawn samples of each label, and the share of a model's transitions that are drawn ones'.
+DRAWN, DRAWN_SHARE = 6000, 0.5
+#: Tokens that a task counts before it hands them on.
+COUNTED = 200_000
 #: Added to each transition's count.
 SMOOTHING = 0.5
 
@@ -37,7 +48,19 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: What ASSIGN begins with, in lower case: without one of these there is no match.
 _OPENERS = ("passw", "secret", "token", "api")
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}")
-_WORDS = re.compile(r"[A-Za-z][A-Za-z_]{3,}")
+_TOKENS = re.compile(rf"[A-Za-z0-9+/_=-]{{{TOKEN_CHARS},}}")
+#: Ordinary words of identifiers, joined by rule.
+NAMES = (
+    "get set add put find load save read write open close start stop run make build parse format check test "
+    "element class name value key index list map array table column row cell field record item node tree graph "
+    "path file folder line word text string number count total sum mean maximum minimum limit size length width "
+    "height user account group role session request response header body message event error warning exception "
+    "retry exceeded reached timeout interval default option setting config environment variable parameter "
+    "argument result output input buffer queue stack cache memory process thread worker server client host port "
+    "address network protocol version release update create delete insert select join order filter sort search "
+    "match replace image color style theme button window page link view model controller service module package "
+    "library function method object instance property attribute by id and or to from with is has"
+).split()
 #: Letters that the models know; any other character has the last number.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _START = len(ALPHABET)
@@ -81,23 +104,24 @@ def transitions(*strings: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-likelihood ratio, random to ordinary, of every transition."""
+    """Log-likelihood ratio, random to ordinary, of every transition, and what a string must exceed."""
 
     ratios: tuple[float, ...]
     least: float = LEAST_RATIO
+    nats: float = LEAST_NATS
 
 
 class Scanner:
     def __init__(self, model: Model):
-        self.ratios, self.least = np.array(model.ratios), model.least
+        self.ratios, self.least, self.nats = np.array(model.ratios), model.least, model.nats
 
-    def ratio(self, string: str) -> float:
-        """Nats per character by which the random model explains the string better."""
-        return float(self.ratios[transitions(string)].mean())
+    def total(self, string: str) -> float:
+        """Nats by which the random model explains the string better."""
+        return float(self.ratios[transitions(string)].sum())
 
     def random(self, string: str) -> bool:
-        """Whether the models call it random; a short piece needs the whole of the least length's nats."""
-        return self.ratio(string) * min(1.0, len(string) / LEAST_CHARS) > self.least
+        """Whether the models call it random."""
+        return self.total(string) > max(self.nats, self.least * len(string))
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """``(start, kind number, end)`` of all spans, in order of start, then kind."""
@@ -112,42 +136,118 @@ class Scanner:
         return sorted(found)
 
 
-def _samples(text: str) -> tuple[list[str], list[str]]:
-    """Ordinary words and random strings of a text."""
+def _samples(text: str) -> tuple[set[str], list[str]]:
+    """Whole tokens that the patterns don't cover, and random strings of a text."""
     base = base_spans(text)
-    words = _WORDS.findall(text)
-    # letters-only parts of found secrets are no ordinary words
-    inside = {w for _, _, _, s in base for w in _WORDS.findall(s)}
-    return [w for w in words if w not in inside] if inside else words, [s for *_, s in base]
+    if not base:
+        return set(_TOKENS.findall(text)), []
+    tokens = {m[0] for m in _TOKENS.finditer(text) if not any(a < m.end() and m.start() < b for a, _, b, _ in base)}
+    return tokens, [s for *_, s in base]
+
+
+def drawn_samples(seed: int = 1) -> tuple[list[str], list[str]]:
+    """Ordinary identifiers in their usual forms, and random strings of keys' usual alphabets."""
+    draw = random.Random(seed)
+    letters = string.ascii_letters + string.digits
+    alphabets = (letters, letters + "+/", letters + "_-", string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits)
+
+    def names(least=1, most=4):
+        return [draw.choice(NAMES) for _ in range(draw.randint(least, most))]
+
+    def date(mark):
+        return mark.join((f"{draw.randint(1970, 2039)}", f"{draw.randint(1, 12):02}", f"{draw.randint(1, 28):02}"))
+
+    def time(mark):
+        return mark.join(f"{draw.randint(0, 59):02}" for _ in range(3))
+
+    def uuid():
+        return "-".join("".join(draw.choice("0123456789abcdef") for _ in range(n)) for n in (8, 4, 4, 4, 12))
+
+    def camel(words):
+        return words[0] + "".join(w.title() for w in words[1:])
+
+    forms = (
+        lambda: "_".join(names()),
+        lambda: "_".join(names()).upper(),
+        lambda: camel(names()),
+        lambda: camel(["", *names()]),
+        lambda: "-".join(names()),
+        lambda: "/" + "/".join([*names(), date(draw.choice("/-"))][: draw.randint(1, 5)]),
+        lambda: "/".join(names(2, 5)),
+        lambda: "_".join([*names(1, 2), str(draw.randint(0, 9999))]),
+        lambda: str(draw.randrange(10 ** draw.randint(2, 24))),
+        lambda: (draw.choice(string.digits) + string.digits * 3)[: draw.randint(4, 24)],
+        lambda: date(draw.choice(["-", "/", "_", ""])),
+        lambda: date("-") + "T" + time("-") + draw.choice(["", "Z", "-000Z"]),
+        uuid,
+        lambda: draw.choice(ALPHABET) * draw.randint(4, 30),
+    )
+    ordinary = [forms[i % len(forms)]() for i in range(DRAWN)]
+    rand = ["".join(draw.choice(a) for _ in range(draw.randint(16, 48))) for a in (alphabets[i % len(alphabets)] for i in range(DRAWN))]
+    return ordinary, rand
+
+
+def _counts(strings) -> np.ndarray:
+    return np.bincount(transitions(*strings), minlength=SIZE * SIZE).astype(np.int64)
 
 
 def train(df: DataFrame, text: str = "text", least: float = LEAST_RATIO) -> Model:
     """Both models from every text of ``df``; what reaches the driver is one row a transition.
 
-    Without random samples (an empty table, or one without secrets) every transition is as
-    likely in a random string as any other.
+    A token counts once for each document that has it. Where the corpus has no sample of a label
+    (an empty table, or one without secrets) the drawn ones are all there is. Counts of whole
+    tables are exact, so the model does not depend on how rows are dealt.
     """
     common.prepare(df.sparkSession)
 
-    def count(batches):
-        totals = np.zeros((2, SIZE * SIZE), np.int64)
+    def tokens_of(batches):
+        held: dict[str, int] = {}
+        secret = np.zeros(SIZE * SIZE, np.int64)
+
+        def out():
+            columns = [pa.nulls(len(held), pa.int32()), common.strings(list(held)), common.longs(list(held.values()))]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, names)
+
         for batch in common.slices(batches):
             for value in batch.column(0).to_pylist():
-                for own, strings in enumerate(_samples(value)):
-                    if strings:
-                        totals[own] += np.bincount(transitions(*strings), minlength=SIZE * SIZE)
-        label, move = np.nonzero(totals)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(label, pa.int32()), pa.array(move, pa.int32()), pa.array(totals[label, move])],
-            ["label", "move", "n"],
-        )
-
-    counted = df.select(common.whole(text).alias("t")).mapInArrow(count, "label int, move int, n long")
-    counts = np.zeros((2, SIZE * SIZE))
-    for row in counted.groupBy("label", "move").agg(F.sum("n").alias("n")).collect():
-        counts[row.label, row.move] = row.n
-    smooth = (counts + SMOOTHING).reshape(2, SIZE, SIZE)
-    logs = np.log(smooth / smooth.sum(2, keepdims=True)).reshape(2, -1)
+                ordinary, found = _samples(value)
+                for token in ordinary:
+                    held[token] = held.get(token, 0) + 1
+                if found:
+                    secret += _counts(found)
+            if len(held) >= COUNTED:
+                yield out()
+        yield out()
+        moves = np.flatnonzero(secret)
+        columns = [pa.array(moves, pa.int32()), pa.nulls(len(moves), pa.string()), pa.array(secret[moves])]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+    def moves_of(batches):
+        totals = np.zeros(SIZE * SIZE, np.int64)
+        for batch in common.slices(batches):
+            tokens, documents = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            lengths = np.fromiter((len(t) for t in tokens), np.int64, len(tokens))
+            # one token after the other, a transition of each as often as documents have it
+            np.add.at(totals, transitions(*tokens), np.repeat(documents, lengths))
+        moves = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(moves, pa.int32()), pa.array(totals[moves])], ["move", "n"])
+
+    names = ["move", "token", "n"]
+    counted = common.stage(df.select(common.whole(text).alias("t")).mapInArrow(tokens_of, "move int, token string, n long"), "tokens")
+    spread = counted.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= SEVERAL)
+    ordinary = spread.mapInArrow(moves_of, "move int, n long").groupBy("move").agg(F.sum("n").alias("n"))
+    secret = counted.where("move is not null").groupBy("move").agg(F.sum("n").alias("n"))
+    logs = []
+    for own, sample in zip((ordinary, secret), drawn_samples()):
+        counts = np.zeros(SIZE * SIZE)
+        for row in own.collect():
+            counts[row.move] = row.n
+        drawn = _counts(sample).astype(np.float64)
+        if counts.any():
+            drawn *= DRAWN_SHARE / (1 - DRAWN_SHARE) * counts.sum() / drawn.sum()
+        smooth = (counts + drawn + SMOOTHING).reshape(SIZE, SIZE)
+        logs.append(np.log(smooth / smooth.sum(1, keepdims=True)).ravel())
     return Model(tuple((logs[1] - logs[0]).tolist()), least)
 
 

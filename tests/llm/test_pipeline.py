@@ -7,7 +7,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gleanery.llm import common, secrets, simhash, toxicity
+from gleanery.llm import common, secrets, toxicity
+from test_shingles import plain_groups
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -33,16 +34,9 @@ def test_rows_above_the_threshold_go(spark, sf_dir, stages):
 
 
 def test_one_of_each_group_stays(stages):
-    before, after = stages[1], stages[2]
-    tables = corpus_pipeline.DEDUP_WORDS, corpus_pipeline.DEDUP_TABLES
-    prints = {r.doc_id: simhash.table_fingerprints(r.text, *tables) for r in before}
-    top = {i: i for i in prints}
-    for i, a in prints.items():
-        for j, b in prints.items():
-            if i < j and top[i] != top[j] and any((x ^ y).bit_count() <= 3 for x, y in zip(a, b)):
-                low, high = sorted((top[i], top[j]))
-                top = {k: low if v == high else v for k, v in top.items()}
-    assert Counter(after) == Counter(r for r in before if top[r.doc_id] == r.doc_id)
+    before, after = sorted(stages[1], key=lambda r: r.doc_id), stages[2]
+    top = plain_groups([r.text for r in before])
+    assert Counter(after) == Counter(r for place, r in enumerate(before) if top[place] == place)
 
 
 def test_secrets_are_replaced(stages):
