@@ -21,8 +21,6 @@ from gleanery.llm import common
 
 #: Blocks of each source. The part of a source that is looked at document by document is one.
 BLOCKS = 65_536
-#: A mixture has named sources: their totals, one row each, are held by the driver.
-MOST_SOURCES = 1_000_000
 SEED = 20_011
 STEPS = 60
 
@@ -32,17 +30,18 @@ def word_tokens(text: str = "text") -> Column:
     return F.regexp_count(common.whole(text), F.lit(r"\S+")).cast("long")
 
 
-def weights(tokens: np.ndarray, exponent: float) -> np.ndarray:
-    """Weights of sources with these totals; a source without tokens has none."""
+def weights(tokens: np.ndarray, exponent: float, times: np.ndarray | int = 1) -> np.ndarray:
+    """Weights of sources with these totals, each of ``times`` sources; one without tokens has none."""
     logs = np.where(tokens > 0, np.log(np.maximum(tokens, 1)), -np.inf) * max(exponent, 1e-12)
     raised = np.exp(logs - logs.max())
     raised[tokens <= 0] = 0.0
-    return raised / raised.sum()
+    return raised / (raised * times).sum()
 
 
-def entropy(shares: np.ndarray) -> float:
+def entropy(shares: np.ndarray, times: np.ndarray | int = 1) -> float:
+    times = np.broadcast_to(times, shares.shape)[shares > 0]
     shares = shares[shares > 0]
-    return float(-(shares * np.log(shares)).sum())
+    return float(-(times * shares * np.log(shares)).sum())
 
 
 def bisect(enough: Callable[[float], bool], low: float, high: float) -> float:
@@ -61,27 +60,30 @@ def solve(
     budget: int | None,
     entropy_target: float | None = None,
     repeat_limit: float | None = None,
+    times: np.ndarray | None = None,
 ) -> tuple[float, np.ndarray, np.ndarray]:
     """``(exponent, weights, tokens to draw)`` of sources with these totals.
 
+    ``times`` tells how many sources have each total, 1 by default.
     ``entropy_target`` is a share of the highest entropy, that of equal weights; the exponent
     lies from 0 (equal weights) up to where entropy has fallen to the target. A
     ``repeat_limit`` raises it, up to 1, until no source is drawn more often than that.
     ``budget`` None is the least that draws every source in full once.
     """
-    sources = int((tokens > 0).sum())
+    times = np.ones(len(tokens), np.int64) if times is None else times
+    sources = int(times[tokens > 0].sum())
     if not sources:
         return 1.0, np.zeros(len(tokens)), np.zeros(len(tokens), np.int64)
 
     def drawn(exponent):
-        shares = weights(tokens, exponent)
+        shares = weights(tokens, exponent, times)
         whole = (tokens[tokens > 0] / shares[tokens > 0]).max() if budget is None else budget
         return shares, shares * whole
 
     exponent = 0.0
     if entropy_target is not None:
         wanted = entropy_target * log(sources) if sources > 1 else 0.0
-        exponent = bisect(lambda a: a >= 64 or entropy(weights(tokens, a)) <= wanted, 0.0, 64.0)
+        exponent = bisect(lambda a: a >= 64 or entropy(weights(tokens, a, times), times) <= wanted, 0.0, 64.0)
     if repeat_limit is not None:
         def within(a):
             return bool((drawn(a)[1] <= repeat_limit * tokens * (1 + 1e-9))[tokens > 0].all())
@@ -118,81 +120,74 @@ def mix(
     tables give no rows.
     """
     tokens = word_tokens() if tokens is None else tokens
-    own = [c for c in df.columns if c not in ("mix_epoch", "mix_block", "mix_key", "mix_tokens")]
+    added = ("mix_epoch", "mix_block", "mix_key", "mix_tokens") if placed else ()
     block = F.pmod(F.xxhash64(F.col(f"`{id}`").cast("string"), F.lit(seed)), F.lit(BLOCKS)).cast("int")
+    # the caller's columns travel in one, so that no name of theirs meets one of these
     rows = df.select(
-        *[F.col(f"`{c}`") for c in own],
-        F.col(f"`{source}`").cast("string").alias("mix_source"),
-        block.alias("mix_block"),
-        tokens.alias("mix_tokens"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.col(f"`{source}`").cast("string").alias("source"),
+        F.col(f"`{id}`").alias("id"),
+        block.alias("block"),
+        tokens.alias("tokens"),
     )
-    blocks = common.stage(
-        rows.groupBy("mix_source", "mix_block").agg(F.sum("mix_tokens").alias("n")), "blocks"
-    )
-    totals = blocks.groupBy("mix_source").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    totals.sort(key=lambda r: (r.mix_source is None, r.mix_source or ""))
-    counts = np.array([r.n for r in totals], np.int64)
+    blocks = common.stage(rows.groupBy("source", "block").agg(F.sum("tokens").alias("n")), "blocks")
+    totals = common.stage(blocks.groupBy("source").agg(F.sum("n").alias("n")), "totals")
+    # weights depend on totals alone. There are at most sqrt(2 * tokens) different ones, whatever the sources
+    alike = sorted((r.n, r["count"]) for r in totals.where("n is not null").groupBy("n").count().collect())
+    counts, times = (np.array(c, np.int64) for c in (zip(*alike) if alike else ((), ())))
     if budget is None and budget_share is not None:
-        budget = int(budget_share * counts.sum())
+        budget = int(budget_share * (counts * times).sum())
     _, _, parts = solve(
-        counts, budget=budget, entropy_target=entropy_target, repeat_limit=repeat_limit
+        counts, budget=budget, entropy_target=entropy_target, repeat_limit=repeat_limit, times=times
     )
-    plan = df.sparkSession.createDataFrame(
-        [
-            (r.mix_source, int(part // n), int(part % n))
-            for r, n, part in zip(totals, counts.tolist(), parts.tolist())
-            if n and part
-        ],
-        "plan_source string, epochs long, rest long",
+    by_total = df.sparkSession.createDataFrame(
+        [(n, int(part // n), int(part % n)) for n, part in zip(counts.tolist(), parts.tolist()) if n and part],
+        "n long, epochs long, rest long",
     )
+    # one row a source; Spark broadcasts it while its files are within the limit for that
+    plan = common.stage(totals.join(by_total, "n").select(F.col("source").alias("of"), "epochs", "rest"), "plan")
+    in_plan = F.col("source").eqNullSafe(F.col("of"))
 
     def key(epoch):
-        return F.xxhash64(F.lit(seed), F.col("mix_source"), epoch, F.col("mix_block"))
+        return F.xxhash64(F.lit(seed), F.col("source"), epoch, F.col("block"))
 
     # the part of an epoch: where in the permutation of its blocks the rest is used up
-    before = Window.partitionBy("mix_source").orderBy("key", "mix_block")
-    used = (
-        blocks.join(F.broadcast(plan), F.col("mix_source").eqNullSafe(F.col("plan_source")))
+    before = Window.partitionBy("source").orderBy("key", "block")
+    cuts = (
+        blocks.join(plan, in_plan)
         .withColumn("key", key(F.col("epochs")))
         .withColumn("upto", F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, 0)))
         .where("upto > rest")
-        .groupBy("plan_source", "epochs")
-        .agg(F.min(F.struct("key", "mix_block", (F.col("rest") - F.col("upto") + F.col("n")).alias("left"))).alias("cut"))
-        .select("plan_source", "epochs", "cut.key", "cut.mix_block", "cut.left")
-    )
-    # without a budget, sources without tokens are one epoch: a cut that lies behind no block
-    once = [(r.mix_source, 1, -(2**63), -1, 0) for r in totals if not r.n and budget is None]
-    # one row a source, as the plan; collected sizes are known to be within MOST_SOURCES
-    cuts = df.sparkSession.createDataFrame(
-        [*(tuple(r) for r in used.collect()), *once],
-        "plan_source string, epochs long, cut_key long, cut_block int, room long",
+        .groupBy("of", "epochs")
+        .agg(F.min(F.struct("key", "block", (F.col("rest") - F.col("upto") + F.col("n")).alias("left"))).alias("cut"))
+        .select("of", "epochs", F.col("cut.key").alias("cut_key"), F.col("cut.block").alias("cut_block"), F.col("cut.left").alias("room"))
     )
-    there = rows.join(F.broadcast(cuts), F.col("mix_source").eqNullSafe(F.col("plan_source")))
+    if budget is None:
+        # sources without tokens are one epoch: a cut that lies behind no block
+        never = (F.lit(1).cast("long"), F.lit(-(2**63)).cast("long"), F.lit(-1), F.lit(0).cast("long"))
+        cuts = cuts.union(totals.where("coalesce(n, 0) = 0").select("source", *never))
+    cuts = common.stage(cuts, "cuts")
+    there = rows.join(cuts, in_plan)
     at = key(F.col("epochs"))
-    ahead = (at < F.col("cut_key")) | ((at == F.col("cut_key")) & (F.col("mix_block") < F.col("cut_block")))
-    times = F.col("epochs") + ahead.cast("long")
-    whole = there.where(times > 0).withColumn(
-        "mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), times - 1))
-    )
-    order = Window.partitionBy("mix_source").orderBy(
-        F.xxhash64(F.lit(seed), F.col(f"`{id}`").cast("string"), F.lit("row")), F.col(f"`{id}`"), "mix_tokens"
+    ahead = (at < F.col("cut_key")) | ((at == F.col("cut_key")) & (F.col("block") < F.col("cut_block")))
+    drawn = F.col("epochs") + ahead.cast("long")
+    whole = there.where(drawn > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), drawn - 1)))
+    order = Window.partitionBy("source").orderBy(
+        F.xxhash64(F.lit(seed), F.col("id").cast("string"), F.lit("row")), "id", "tokens"
     )
     cut = (
-        there.where((at == F.col("cut_key")) & (F.col("mix_block") == F.col("cut_block")))
-        .withColumn("upto", F.sum("mix_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        there.where((at == F.col("cut_key")) & (F.col("block") == F.col("cut_block")))
+        .withColumn("upto", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .where("upto <= room")
         .drop("upto")
-        .withColumn("mix_epoch", F.col("epochs"))
+        .withColumn("epoch", F.col("epochs"))
     )
     out = whole.unionByName(cut)
-    names = [F.col(f"`{c}`") for c in own]
+    names = [F.col("row").getField(c).alias(c) for c in df.columns if c.lower() not in added]
     if not placed:
-        return out.select(*[F.col(f"`{c}`") for c in df.columns])
-    return out.select(
-        *names, F.col("mix_epoch"), "mix_block", key(F.col("mix_epoch")).alias("mix_key"), "mix_tokens"
-    )
+        return out.select(*names)
+    places = zip(added, (F.col("epoch"), F.col("block"), key(F.col("epoch")), F.col("tokens")))
+    return out.select(*names, *[value.alias(name) for name, value in places])
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

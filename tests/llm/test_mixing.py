@@ -110,3 +110,40 @@ def test_sources_without_tokens_are_drawn_once_without_a_budget(spark, messy):
         assert drawn.keys() == own.keys() and all(n <= drawn[r] for r, n in own.items())
         assert all(drawn[r] == n for r, n in own.items() if r.source == "none")
     assert mixing.mix(extra, budget=5).collect() == []
+
+
+def test_columns_named_as_inner_ones(spark):
+    inner = ("row", "Source", "id", "block", "tokens", "n", "of", "epochs", "Rest", "key", "upto", "cut_key", "room",
+             "epoch", "mix_source", "mix_epoch", "MIX_KEY", "mix_tokens", "plan_source", "left")
+    rows = [(i, f"s{i % 3}", "a few words here", *range(len(inner))) for i in range(30)]
+    columns = ["doc_id long", "origin string", "text string", *(f"{c} int" for c in inner)]
+    frame = spark.createDataFrame(rows, ", ".join(columns))
+    drawn = mixing.mix(frame, source="origin", repeat_limit=2.0, placed=False)
+    assert drawn.columns == frame.columns
+    assert {tuple(r) for r in drawn.collect()} == set(rows)
+    placed = mixing.mix(frame, source="origin", repeat_limit=2.0)
+    kept = [c for c in frame.columns if c.lower() not in ("mix_epoch", "mix_block", "mix_key", "mix_tokens")]
+    assert placed.columns == [*kept, "mix_epoch", "mix_block", "mix_key", "mix_tokens"]
+    assert {r.mix_tokens for r in placed.collect()} == {4}
+
+
+def test_sources_of_one_total_are_solved_together():
+    tokens, times = np.array([50, 700, 9000]), np.array([40, 3, 1])
+    each = np.repeat(tokens, times)
+    one = mixing.solve(tokens, budget=20_000, entropy_target=0.9, times=times)
+    all_ = mixing.solve(each, budget=20_000, entropy_target=0.9)
+    assert math.isclose(one[0], all_[0], rel_tol=1e-9)
+    assert np.repeat(one[2], times).tolist() == all_[2].tolist()
+
+
+def test_many_sources_take_joins_without_broadcast(spark):
+    rows = [(i, f"source {i % 700}", i % 5) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, tokens long")
+    want = Counter(tuple(r) for r in mixing.mix(frame, tokens=F.col("tokens"), repeat_limit=2.0, placed=False).collect())
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = Counter(tuple(r) for r in mixing.mix(frame, tokens=F.col("tokens"), repeat_limit=2.0, placed=False).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == want and set(got) == set(rows) and set(got.values()) <= {1, 2}

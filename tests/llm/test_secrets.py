@@ -111,6 +111,7 @@ def test_model_spans_against_a_plain_scan(texts, model):
 
 def test_counts_are_those_of_all_texts(spark, texts):
     """The trained ratios against counting letter by letter."""
+    texts = texts | {-1: "password=Zk3vQ9xLm2Np and AKIA" + "B2" * 10, -2: "token: a.b.c_d=e9"}
     counts = [Counter(), Counter()]
     documents = Counter()
     for text in texts.values():
@@ -130,7 +131,9 @@ def test_counts_are_those_of_all_texts(spark, texts):
                         into[before, now] += n
                     before = now
     size, known = secrets.SIZE, trained(spark, texts)
-    whole = [{m: counts[o][m] + drawn[o][m] * sum(counts[o].values()) / sum(drawn[o].values()) for m in {*counts[o], *drawn[o]}} for o in (0, 1)]
+    # half of a model's transitions are drawn ones', all where the corpus has none
+    scale = [sum(c.values()) / sum(d.values()) or 1.0 for c, d in zip(counts, drawn)]
+    whole = [{m: c[m] + d[m] * x for m in {*c, *d}} for c, d, x in zip(counts, drawn, scale)]
     for a, b in random.Random(1).sample([(a, b) for a in range(size) for b in range(size)], 200):
         logs = [math.log((c.get((a, b), 0) + 0.5) / (sum(c.get((a, x), 0) for x in range(size)) + 0.5 * size)) for c in whole]
         assert math.isclose(known.ratios[a * size + b], logs[1] - logs[0], abs_tol=1e-9)
