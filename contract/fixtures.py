@@ -166,11 +166,18 @@ def malformed(pages: DataFrame) -> DataFrame:
 
 
 def recrawled(captures: DataFrame) -> DataFrame:
-    """Every sixth source with a second capture, a failed one."""
+    """Every sixth source with a second capture, a failed one, every tenth with one of unknown fate."""
     again = captures.filter("source_id % 6 = 0").withColumns(
         {"error": F.lit(True), "status": F.lit(500), "static_html": F.lit("<p>try again later</p>")}
     )
-    return captures.unionByName(again)
+    unknown = captures.filter("source_id % 10 = 0 AND NOT coalesce(error, false)").withColumns(
+        {
+            "error": F.lit(None).cast("boolean"),
+            "status": F.lit(None).cast("int"),
+            "static_html": F.lit("<p>who knows</p>"),
+        }
+    )
+    return captures.unionByName(again).unionByName(unknown)
 
 
 def probed_twice(link_status: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.markup import visible_text
@@ -15,17 +17,53 @@ MIN_STATIC_CHARS = 400
 MIN_CONTENT_CHARS = 40
 
 
-def one_per_source(captures: DataFrame) -> DataFrame:
-    """One capture of every source: one without an error first, then by status and address.
+def _place(captures: DataFrame) -> Column:
+    """Where a capture stands among those of its source: without an error first, then by status,
+    an unknown one last, address and time taken; what is left is told apart by a hash of it all."""
+    order = ["status", "final_url", "elapsed_s"]
+    rest = [F.col(f"`{c}`") for c in captures.columns if c not in ("source_id", "error", *order)]
+    return F.struct(
+        F.coalesce("error", F.lit(False)).alias("failed"),
+        F.col("status").isNull().alias("no_status"),
+        *order,
+        F.xxhash64(*rest).alias("rest"),
+    )
+
+
+def one_per_source(
+    captures: DataFrame, registry: DataFrame, written: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """One capture of every source in ``registry``; captures of others stay or go.
 
-    Repeated captures are looked for by their keys; without any, markup stays where it is.
+    Repeated captures are looked for by their keys; without any, all stay as they are. Else the
+    first of each repeated source is found over narrow columns and a hash of the others. One row
+    for each such source goes through ``written``, which writes a table and reads it back; captures
+    are then read again and those kept that are first. While these rows are within the broadcast limit, captures stay
+    where they are; beyond it, markup is turned into text before the join. So markup moves only
+    where captures of a source are the same in every column.
     """
+    if fits_broadcast(registry):
+        captures = captures.join(F.broadcast(registry.select("source_id")), "source_id", "left_semi")
     repeated = captures.groupBy("source_id").count().filter("count > 1")
     if repeated.isEmpty():
         return captures
-    place = [F.coalesce("error", F.lit(False)), "status", "final_url", "elapsed_s", "static_html"]
-    number = F.row_number().over(Window.partitionBy("source_id").orderBy(*place))
-    return captures.withColumn("place", number).filter("place = 1").drop("place")
+    narrow = captures.select("source_id", _place(captures).alias("place"))
+    alike = narrow.groupBy("source_id", "place").agg(F.count("*").alias("times"))
+    first = alike.groupBy("source_id").agg(
+        F.min_by("times", "place").alias("times"), F.min("place").alias("first"), F.sum("times").alias("all_times")
+    )
+    winners = written(first.filter("all_times > 1").select("source_id", "first", "times"))
+    here = captures.withColumn("place", _place(captures))
+    if fits_broadcast(winners):
+        joined = here.join(F.broadcast(winners), "source_id", "left")
+    else:
+        joined = with_texts(here).join(winners.hint("merge"), "source_id", "left")
+    kept = joined.filter(F.col("first").isNull() | F.col("place").eqNullSafe(F.col("first"))).drop("place", "first")
+    if winners.filter("times > 1").isEmpty():
+        return kept.drop("times")
+    again = F.coalesce(F.col("times") > 1, F.lit(False))
+    same = kept.filter(again).dropDuplicates(["source_id"])
+    return kept.filter(~again).unionByName(same).drop("times")
 
 
 def with_texts(captures: DataFrame) -> DataFrame:
@@ -134,14 +172,14 @@ def choose_text(captured: DataFrame) -> DataFrame:
 def read_captures(captures: DataFrame, registry: DataFrame) -> DataFrame:
     """One row per source: its registry columns and the text captured for it.
 
-    Only captures of the registry's sources are read. A small registry is joined first, where
-    the markup lies; for a large one the text is read before the join, so that markup is
-    shuffled in neither case.
+    A small registry is joined first, where the markup lies, and only captures of its sources are
+    read; for a large one the text is read before the join, so that markup is shuffled in
+    neither case.
     """
     if fits_broadcast(registry):
         return choose_text(with_sources(captures, registry))
-    wanted = captures.join(registry.select("source_id"), "source_id", "left_semi")
-    return choose_text(with_sources(with_texts(wanted), registry))
+    texts = with_texts(captures) if "static_html" in captures.columns else captures
+    return choose_text(with_sources(texts, registry))
 
 
 def worth_extracting(text: Column) -> Column:

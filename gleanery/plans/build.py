@@ -149,7 +149,8 @@ def build(
     folder = shared_folder(registry.sparkSession)
     day = run_date_column(run_date)
 
-    pages = stage(read_captures(one_per_source(captures), selected), folder, "pages")
+    captured = one_per_source(captures, selected, lambda first: stage(first, folder, "first_captures"))
+    pages = stage(read_captures(captured, selected), folder, "pages")
     given = stage(extract(extraction_requests(pages)), folder, "answers") if extract else answers
     if "first_pos" not in given.columns:
         if not given.groupBy("source_id").count().filter("count > 1").isEmpty():

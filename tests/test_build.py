@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.urls import url_key
 from gleanery.operators import registry as reg
-from gleanery.operators.captures import read_captures, worth_extracting
+from gleanery.operators.captures import one_per_source, read_captures, worth_extracting
 from gleanery.operators.requests import extraction_requests, locks_temperature
 from gleanery.plans import build
 from gleanery.plans.staging import stage
@@ -308,6 +308,57 @@ def test_recrawled_sources_count_once(spark):
     assert built.records.count() == len(SOURCES)
 
 
+def recrawls(spark):
+    """Each source's good capture, with what must lose against it or is the same."""
+    good = captures(spark)
+    bad = good.withColumns({"error": F.lit(True), "status": F.lit(500)})
+    unknown = good.withColumns({
+        "error": F.lit(None).cast("boolean"), "status": F.lit(None).cast("int"), "static_html": F.lit("<p>unknown</p>"),
+    })
+    return good.unionByName(unknown).unionByName(bad).unionByName(good)
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_the_capture_of_a_recrawled_source(spark, tmp_path, limit):
+    """An unknown status loses against a known one; both ways of joining give the same texts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        one = one_per_source(recrawls(spark), registry(spark), lambda d: stage(d, str(tmp_path), "first"))
+        texts = read_captures(one, registry(spark)).select("source_id", "text", "final_url").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = read_captures(captures(spark), registry(spark)).select("source_id", "text", "final_url").collect()
+    assert sorted(texts) == sorted(want)
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_no_markup_in_any_exchange(spark, tmp_path, limit):
+    """With a recrawl present, what is shuffled or broadcast holds neither markup column."""
+    good = captures(spark)
+    both = good.unionByName(good.withColumns({"status": F.lit(404), "static_html": F.lit("<p>gone</p>")}))
+    both.write.parquet(str(tmp_path / "captures"))
+    both = spark.read.parquet(str(tmp_path / "captures"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        one = one_per_source(both, registry(spark), lambda d: stage(d, str(tmp_path), "first"))
+        pages = read_captures(one, registry(spark))
+        root = pages._jdf.queryExecution().executedPlan().initialPlan()
+        assert pages.count() == len(SOURCES)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+    def parts(of):
+        return [of.apply(i) for i in range(of.size())]
+
+    def nodes(node):
+        return [node, *(x for child in parts(node.children()) for x in nodes(child))]
+
+    moved = [{a.name() for a in parts(n.output())} for n in nodes(root) if "Exchange" in n.nodeName()]
+    assert moved and not any({"static_html", "rendered_html"} & names for names in moved)
+
+
 def test_answers_out_of_order_and_missing_verdicts_are_refused(spark):
     answers = spark.createDataFrame([(0, "{}"), (0, "{}")], "source_id long, payload string")
     with pytest.raises(ValueError, match="first_pos"):
