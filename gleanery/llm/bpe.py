@@ -36,7 +36,7 @@ ASCII_SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 )
 #: Words a worker remembers in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 #: Arcs whose look-up a worker remembers.
 REMEMBERED_ARCS = 250_000
 #: Longest word that is remembered.
@@ -219,6 +219,7 @@ class Codec:
 @lru_cache(maxsize=2)
 def codec(vocabulary: str) -> Codec:
     """One automaton for each worker process and vocabulary."""
+    pa.default_memory_pool().release_unused()  # what earlier stages left in this process
     return Codec(vocabulary)
 
 

@@ -35,7 +35,7 @@ SEVERAL, TOKEN_CHARS = 2, 4
 #: Drawn samples of each label, and the share of a model's transitions that are drawn ones'.
 DRAWN, DRAWN_SHARE = 6000, 0.5
 #: Tokens that a task counts before it hands them on.
-COUNTED = 200_000
+COUNTED = 50_000
 #: Added to each transition's count.
 SMOOTHING = 0.5
 
