@@ -234,7 +234,7 @@ def index(df: DataFrame, ranks: bytes, text: str = "text") -> DataFrame:
         return pa.StructArray.from_arrays([_lists(lengths), _lists(counts)], ["lengths", "counts"])
 
     name = common.fresh(df, "tree")
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("lengths", "counts")]
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("lengths", "counts")]
     made = common.append_column(
         df, run, common.whole(text), name, "struct<lengths:array<int>,counts:array<int>>"
     )
@@ -283,7 +283,7 @@ def recount(df: DataFrame, ranks: bytes, edits: Column, text: str = "text") -> D
         as_list=False,
     )
     new = [text, "lengths", "counts", "n_tokens", "edited_tokens", "n_encoded"]
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in new]
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in [n.lower() for n in new]]
     parts = [F.col(f"`{name}`.{f.name}").alias(a) for f, a in zip(kind, new)]
     return made.select(*kept, *parts)
 

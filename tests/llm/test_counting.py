@@ -69,7 +69,7 @@ def test_query_against_encoding_whole_texts(spark, sf_dir, texts, ranks):
 
 
 def test_messy_rows(spark, messy, empty, ranks):
-    indexed = counting.index(messy.withColumnRenamed("score", "counts"), ranks)
+    indexed = counting.index(messy.withColumnsRenamed({"score": "Counts", "lang": "LENGTHS"}), ranks)
     edit = F.struct(F.lit(3).cast("long").alias("start"), F.lit(None).cast("long").alias("removed"), F.lit("x y").alias("inserted"))
     edits = F.when(F.col("doc_id") != 5, F.array(edit, F.lit(None)))
     rows = counting.recount(indexed, ranks, edits).collect()
