@@ -33,14 +33,12 @@ def _subtrees(names: list[str]) -> str:
 
 
 _NO_TEXT = rf"(?is)<(?:{_COMMENT}|{_subtrees(RAW_TEXT_ELEMENTS)})"
-_FLAT = rf"(?is)<(?:{_COMMENT}|{_subtrees(RAW_TEXT_ELEMENTS + HIDDEN_ELEMENTS)})"
-# A hidden element that opens once more before it closes.
-_NESTED = rf"(?is)<({_HIDDEN}){_OPEN}(?:(?!</?\1[\s>]).)*+<\1[\s>]"
-# A hidden element without its closing tag.
-_UNCLOSED = rf"(?is)<({_HIDDEN}){_OPEN}(?!.*?</\1\s*>)"
 # A quote opens a value only after an equals sign; elsewhere it is a character like others.
 _VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
-_TAG = rf"(?is)<(?:/?[a-z](?:[^>=]++|{_VALUE})*+(?:>|\z)|[!?][^>]*(?:>|\z))"
+_ANY_TAG = rf"/?[a-z](?:[^>=]++|{_VALUE})*+(?:>|\z)|[!?][^>]*(?:>|\z)"
+_TAG = rf"(?is)<(?:{_ANY_TAG})"
+# All that is not text on a page whose hidden elements are even.
+_FLAT = rf"(?is)<(?:{_COMMENT}|{_subtrees(RAW_TEXT_ELEMENTS + HIDDEN_ELEMENTS)}|{_ANY_TAG})"
 _TAG_NAME = r"^<(/?[a-zA-Z][^\s/>]*)"
 _EMPTY_TAG = r"/\s*>$"
 
@@ -50,6 +48,13 @@ _OTHER_ENTITY = (
     rf"&(?!(?:{'|'.join(_COMMON_ENTITIES)});)"
     "(?:#[0-9]|#[xX][0-9A-Fa-f]|[A-Za-z][A-Za-z0-9]*;)"
 )
+# What a page is looked over for at once: tags of hidden elements and rare references.
+_MARK = (
+    rf"[<&](?:(?is:(?<=<)(?:(?:{_HIDDEN})(?={_OPEN})|/(?:{_HIDDEN})(?=\s*>)))"
+    rf"|(?<=&){_OTHER_ENTITY[1:]})"
+)
+# Among the marks, each ended by ">": an opening tag whose kind opens once more, or never closes.
+_UNEVEN = rf"(?i)<({_HIDDEN})>(?!(?:(?!</?\1>)[^>]*+>)*+</\1>)"
 _ENTITY_HEAD = r"^(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*(?=;));?"
 
 
@@ -183,12 +188,18 @@ def _shown_parts(html: Column) -> Column:
 def visible_text(html: Column) -> Column:
     """Text outside hidden elements, tags and comments, whitespace collapsed.
 
-    Both choices test the page as it came, not an intermediate text, so that no step
-    is computed twice. Pages where a hidden element nests in its own kind or lacks its
-    closing tag, and pages with rare entities, take a slower way.
+    One look over the page as it came finds its marks, and both choices are made on those.
+    Pages where a hidden element nests in its own kind or lacks its closing tag, and pages
+    with rare entities, take a slower way.
     """
-    uneven = F.rlike(html, F.lit(_NESTED)) | F.rlike(html, F.lit(_UNCLOSED))
-    flat = F.regexp_replace(F.regexp_replace(html, _FLAT, " "), _TAG, " ")
-    untagged = F.when(uneven, _shown_parts(html)).otherwise(flat)
-    text = decode_entities(untagged, F.rlike(html, F.lit(_OTHER_ENTITY)))
-    return collapse_space(F.coalesce(text, F.lit("")))
+    found = F.regexp_extract_all(html, F.lit(_MARK), F.lit(0))
+    marks = F.concat(F.array_join(found, ">"), F.lit(">"))
+
+    def chosen(marks):
+        flat = F.regexp_replace(html, _FLAT, " ")
+        untagged = F.when(F.rlike(marks, F.lit(_UNEVEN)), _shown_parts(html)).otherwise(flat)
+        text = decode_entities(untagged, F.contains(marks, F.lit("&")))
+        return collapse_space(F.coalesce(text, F.lit("")))
+
+    # an array of one, so that the marks are looked for once
+    return F.element_at(F.transform(F.array(marks), chosen), 1)
