@@ -1,7 +1,10 @@
 """Toxicity by a weighted lexicon, matched by one Aho-Corasick pass over folded text.
 
-Folding is letter by letter, so positions stay those of the text: lower case, letters that
-look like Latin ones, full-width forms, and digits or signs standing for letters. An entry
+Folding is by compatibility decomposition without marks and format characters, so accents,
+full-width, mathematical and circled letters and zero-width characters inside a word change
+nothing; then letters that look like Latin ones, and digits or signs, also several in a row,
+that stand for letters. A 1 or a bar is read as i and, in a second pass, as l; that pass
+leaves signs before a word alone. Hits are given in positions of the text. An entry
 is a whole word or, ending in ``*``, the start of words or, ending in ``+``, a stem with an
 ending of up to ``ENDING_CHARS`` letters. Hits inside an exception phrase do not count. A word counts once, with its heaviest entry. The sum of weights and that sum for
 each word of the text enter a logistic model.
@@ -15,6 +18,7 @@ were looked at by ``MARGIN``. Entries of ``BASE_WORDS`` are in the lexicon witho
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 from math import exp, log, log1p
@@ -40,8 +44,6 @@ LEAST_TOXIC = 3
 MARGIN = 3.0
 #: Terms whose counts a task holds before it passes them on.
 HELD_TERMS = 100_000
-#: Entries at most, the most evident first.
-MOST_ENTRIES = 20_000
 #: Score from which a text is called toxic.
 THRESHOLD = 0.3
 BASE_WEIGHT = 4.0
@@ -56,25 +58,77 @@ EXCEPTIONS = (
     "pond scum", "sore loser rule", "circus clown", "crap game", "jerk chicken", "jerk seasoning",
 )
 
-#: Letters that look like Latin ones: Greek and Cyrillic, small and capital.
-LOOKALIKES = dict(zip("αβεικνορτυχаеорсухіјѕԁвнкмтіАВЕКМНОРСТУХІЈЅΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
-                      "abeiknoptuxaeopcyxijsdbhkmtiabekmhopctyxijsabezhikmnoptyx"))
-DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
-SIGNS = {"@": "a", "$": "s", "!": "i"}
-
-_FOLD = str.maketrans(
-    LOOKALIKES | DIGITS | {"İ": "i"} | {chr(0xFEE0 + c): chr(c).lower() for c in range(0x21, 0x7F)}
-)
-_SIGN = re.compile(r"[@$!](?=\w)")
+#: Letters that look like Latin ones: Greek and Cyrillic, small and capital, and dotless i.
+LOOKALIKES = dict(zip("αβεικνορτυχаеорсухіјѕԁвнкмтіАВЕКМНОРСТУХІЈЅΑΒΕΖΗΙΚΜΝΟΡΤΥΧı",
+                      "abeiknoptuxaeopcyxijsdbhkmtiabekmhopctyxijsabezhikmnoptyxi"))
+DIGITS = {"0": "o", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
+SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i", "+": "t"}
+#: Combining marks that are dropped, and letters A to Z in boxes and discs, as code points.
+MARKS = ((0x300, 0x36F), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0xFE20, 0xFE2F))
+BOXED = (0x1F130, 0x1F150, 0x1F170, 0x1F1E6)
+
+_SIGNS = str.maketrans(SIGNS)
+_SIGNS_L = str.maketrans(SIGNS | {"|": "l"})
+_SIGN = re.compile(r"[@$!|+]+(?=\w)")
+_INNER_SIGN = re.compile(r"(?<=\w)[@$!|+]+(?=\w)")
 _WORD = re.compile(r"\w+")
 
 
+def _dropped(letter: str) -> bool:
+    return unicodedata.category(letter) == "Cf" or any(a <= ord(letter) <= b for a, b in MARKS)
+
+
+class _Folds(dict):
+    """What each code point folds to, found when it is first met; "" if it is dropped.
+
+    A 1 stays, and so do signs: they depend on how the text is read.
+    """
+
+    def __missing__(self, point: int) -> str:
+        letter = chr(point)
+        for first in BOXED:
+            if first <= point < first + 26:
+                letter = chr(ord("a") + point - first)
+        # lookalikes before case: some capitals look like another letter than their small ones
+        known = LOOKALIKES.get(letter)
+        base = [c for c in unicodedata.normalize("NFKD", letter) if not _dropped(c)]
+        plain = "".join(LOOKALIKES.get(c, c) for c in base).lower()
+        if known is None and len(base) > 1 and not plain.isascii():
+            known = letter.lower()[:1]  # not a Latin letter with marks: kept in one piece
+        elif known is None:
+            known = "".join(DIGITS.get(c, c) for c in plain)
+        self[point] = known
+        return known
+
+
+_FOLDS = _Folds()
+
+
+def readings(text: str) -> list[str]:
+    """The text as entries are looked for in it, and a second reading if there is one.
+
+    Both have the same length, which need not be that of the text.
+    """
+    plain = text.translate(_FOLDS)
+    signs = _SIGN.search(plain) is not None
+    if not signs and "1" not in plain:
+        return [plain]
+    first = other = plain
+    if signs:
+        first = _SIGN.sub(lambda m: m[0].translate(_SIGNS), plain)
+        other = _INNER_SIGN.sub(lambda m: m[0].translate(_SIGNS_L), plain)
+    return [first.replace("1", "i"), other.replace("1", "l")]
+
+
 def fold(text: str) -> str:
-    """The text with one folded letter for each of its own."""
-    text = text.translate(_FOLD).lower()
-    if "$" in text or "@" in text or "!" in text:
-        text = _SIGN.sub(lambda m: SIGNS[m[0]], text)
-    return text
+    """The first reading of a text."""
+    return readings(text)[0]
+
+
+def places(text: str) -> list[int]:
+    """For each place of the folded text, and its end, the place in ``text`` it comes from."""
+    sizes = [len(_FOLDS[ord(c)]) for c in text]
+    return [i for i, n in enumerate(sizes) for _ in range(n)] + [len(text)]
 
 
 @dataclass(frozen=True)
@@ -110,9 +164,25 @@ class Matcher:
 
     def hits(self, text: str) -> list[tuple[int, int, float]]:
         """``(start, end, weight)`` of every counted hit, in code points of ``text``."""
+        found = self._folded_hits(text)
+        if not found or text.isascii():
+            return found
+        at = places(text)
+        return [(at[a], at[b - 1] + 1, w) for a, b, w in found]
+
+    def _folded_hits(self, text: str) -> list[tuple[int, int, float]]:
+        """The hits, in places of the folded text."""
         if self.empty:
             return []
-        folded, best, excused = fold(text), {}, []
+        best, excused = {}, []
+        for folded in readings(text):
+            self._look(folded, best, excused)
+        counted = [(a, b, w) for a, (b, w) in sorted(best.items())]
+        if excused:
+            counted = [x for x in counted if not any(a <= x[0] and x[1] <= b for a, b in excused)]
+        return counted
+
+    def _look(self, folded: str, best: dict, excused: list) -> None:
         last = len(folded)
         for end, (size, uses) in self.search.iter(folded):
             start, stop = end + 1 - size, end + 1
@@ -128,14 +198,10 @@ class Matcher:
                     excused.append((start, stop))
                 elif start not in best or best[start][1] < weight:
                     best[start] = (stop, weight)
-        counted = [(a, b, w) for a, (b, w) in sorted(best.items())]
-        if excused:
-            counted = [x for x in counted if not any(a <= x[0] and x[1] <= b for a, b in excused)]
-        return counted
 
     def sums(self, text: str) -> tuple[float, float]:
         """The two features: sum of weights, and the same for each 100 words, as logarithms."""
-        total = sum(w for _, _, w in self.hits(text))
+        total = sum(w for _, _, w in self._folded_hits(text))
         if not total:
             return 0.0, 0.0
         return log1p(total), log1p(100 * total / (1 + text.count(" ") + text.count("\n")))
@@ -205,7 +271,8 @@ def learn(
     """A model from the labelled rows of ``labels`` for which ``learnable`` holds.
 
     At most ``most`` labelled texts are read, each different text once; what reaches the
-    driver is bounded by ``MOST_ENTRIES`` entries and two numbers for each such text.
+    driver is bounded by them: entries that at least ``LEAST_TOXIC`` of them have, and two
+    numbers for each.
     Without any toxic label, or without any other, the base lexicon is used as it is.
     """
     base = dict.fromkeys(BASE_WORDS, BASE_WEIGHT)
@@ -229,11 +296,8 @@ def learn(
         "terms",
     )
     chance = tried.groupBy("kind").agg((F.log(F.count("*")) + MARGIN).alias("least"))  # a row for each kind
-    found = (
-        tried.join(chance, "kind")
-        .where((F.col("weight") >= LEAST_ODDS) & (F.col("evidence") > F.col("least")))
-        .orderBy(F.desc("evidence"), "term")
-        .limit(MOST_ENTRIES)
+    found = tried.join(chance, "kind").where(
+        (F.col("weight") >= LEAST_ODDS) & (F.col("evidence") > F.col("least"))
     )
     weights = base | {r.term: r.weight for r in found.select("term", "weight").collect()}
     fitted = common.map_batches(rows, _features(Model(weights, exceptions)), "total double, density double, label boolean")

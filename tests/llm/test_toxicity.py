@@ -25,12 +25,44 @@ def hits(text, *entries):
         ("a trash can, some trash", ["trash"]),
         ("", []),
         ("İdiot", ["İdiot"]),
+        ("ïdiot ídiot i\u0301diot", ["ïdiot", "ídiot", "i\u0301diot"]),
+        ("an id\u200bi\u00adot", ["id\u200bi\u00adot"]),
+        ("𝐢𝐝𝐢𝐨𝐭 ⓘⓓⓘⓞⓣ 🅸🅳🅸🅾🆃 ıdiot |diot !d!ot", ["𝐢𝐝𝐢𝐨𝐭", "ⓘⓓⓘⓞⓣ", "🅸🅳🅸🅾🆃", "ıdiot", "|diot", "!d!ot"]),
+        ("\u200b한 trash 漢\u0301", ["trash"]),
+        ("|trash| +trash !idiot", ["trash", "trash", "idiot"]),
     ],
 )
 def test_folding_bounds_and_exceptions(text, found):
     assert hits(text, "idiot*", "trash") == found
 
 
+def test_signs_in_runs_and_both_readings_of_one():
+    assert hits("a$$hole, a55ho1e, bi+ch and b!+ch", "asshole*", "bitch*") == ["a$$hole", "a55ho1e", "bi+ch", "b!+ch"]
+    assert hits("stop!!! 1 + 1 | 11 $5 idiotic", "stop", "idiot") == ["stop"]
+
+
+def naive(text, words):
+    """Whole words of the lexicon, letter by letter of every reading."""
+    found = set()
+    for folded in toxicity.readings(text):
+        for word in words:
+            for a in range(len(folded) - len(word) + 1):
+                b = a + len(word)
+                if folded[a:b] == word and not folded[max(a - 1, 0) : a].isalnum() and not folded[b : b + 1].isalnum():
+                    found.add(a)
+    return found
+
+
+def test_hits_of_documents_as_a_naive_search(spark):
+    words = ["trash", "the", "an", "idiot", "of", "all", "in"]
+    matcher = toxicity.Matcher(toxicity.Model(dict.fromkeys(words, 1.0), ()))
+    rows = common.table(spark, "/root/testdata/sf0.001", "documents").select("text").collect()
+    for text in [r.text for r in rows if r.text and len(r.text) < 5000] + ["Thé ａｌｌ, 0f 1n", "a11 |n"]:
+        hits = matcher.hits(text)
+        assert {a for a, _, _ in matcher._folded_hits(text)} == naive(text, words)
+        assert all(toxicity.fold(text[a:b]) in words or "1" in text[a:b] for a, b, _ in hits)
+
+
 def test_a_word_counts_once_with_its_heaviest_entry():
     matcher = toxicity.Matcher(toxicity.Model({"scum": 3.0, "scum*": 2.0, "scumb*": 5.0}))
     assert matcher.hits("scum scumbag") == [(0, 4, 3.0), (5, 10, 5.0)]
