@@ -15,7 +15,7 @@ from gleanery.operators import answers as answering
 from gleanery.operators.audit import audit
 from gleanery.operators.captures import one_per_source, read_captures
 from gleanery.operators.dedupe import counts_around, keep_first
-from gleanery.operators.gates import gate_report
+from gleanery.operators.gates import gate_files
 from gleanery.operators.joins import lookup_join
 from gleanery.operators.liveness import link_liveness, source_liveness
 from gleanery.operators.normalise import PlaceDefaults, normalise
@@ -23,7 +23,7 @@ from gleanery.operators.registry import select_sources
 from gleanery.operators.requests import extraction_requests
 from gleanery.operators.review import flag_broken_links, flag_incomplete
 from gleanery.plans.staging import remove, shared_folder, stage
-from gleanery.sources.readers import header_of, read_table
+from gleanery.sources.readers import read_lines
 from gleanery.sources.sinks import write_audit, write_review_queue, write_table
 
 #: Requests in, answers out: any DataFrame transformation, ``mapInPandas`` included.
@@ -212,8 +212,7 @@ def gate(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
         return 2, None
-    table = read_table(spark, path, numbered=False)
-    rows = gate_report(table, header_of(spark, path)).collect()  # one row a gate
+    rows = gate_files(read_lines(spark, path)).collect()  # one row a gate
     report = spark.createDataFrame(rows, "gate string, passed boolean, offending bigint")
     return (0 if all(r["passed"] for r in rows) else 1), report
 

@@ -80,6 +80,23 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return found["header"].split(",") if found else []
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A written table by position, header lines among the rows.
+
+    ``file`` and ``line`` tell where a row stands: the smallest ``line`` of a file is its
+    header. ``beyond`` has the field after the table's last column, null if there is none.
+    A file is read whole by one task.
+    """
+    names = [*TABLE_COLUMNS, "beyond"]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    given = spark.read.options(**{**_CSV, "header": False}).schema(schema).csv(path)
+    return given.select(
+        *names,
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
 def read_table(
     spark: SparkSession, path: str, *, include_source: bool = False, numbered: bool = True
 ) -> DataFrame:

@@ -119,3 +119,35 @@ def test_a_header_alone_is_not_empty(spark, tmp_path):
     sinks.write_table(final_frame(spark).limit(0), path)
     passed = {r.gate: r.passed for r in build.gate(spark, path)[1].collect()}
     assert passed["nonempty"] and passed["columns"] and not passed["coverage"]
+
+
+def test_gates_of_files_are_those_of_their_rows(spark, tmp_path):
+    from gleanery.operators import gates
+
+    path = str(tmp_path / "table")
+    rows = [{"incentive_type": "", "description": "two\nlines"}, {"updated_at": "x"}] * 40
+    frame = final_frame(spark, *[{**r, "description": f"{i}"} for i, r in enumerate(rows)])
+    spread = frame.repartition(5).select(*sinks.table_columns())
+    spread.write.options(**sinks._CSV).csv(path)
+    given = sorted(gates.gate_report(readers.read_table(spark, path, numbered=False)).collect())
+    assert {r.gate: r.offending for r in given}["incentive_type"] == 40
+    lines = readers.read_lines(spark, path)
+    assert sorted(gates.gate_files(lines).collect()) == given
+    plan = gates.gate_files(lines)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "SortAggregate" not in plan
+    # a longer header, and the right one once more
+    name = ",".join(TABLE_COLUMNS)
+    for i, (header, passes) in enumerate([(name, True), (f"{name},more", False)]):
+        (tmp_path / "table" / f"part-9999{i}-x-c000.csv").write_text(f"{header}\n")
+        report = {r.gate: r for r in gates.gate_files(readers.read_lines(spark, path)).collect()}
+        assert report["columns"].passed == passes and report["columns"].offending == 1 - passes
+        assert report["incentive_type"].offending == 40
+
+
+def test_no_line_at_all(spark, tmp_path):
+    from gleanery.operators import gates
+
+    (tmp_path / "part-00000.csv").write_text("")
+    report = {r.gate: r for r in gates.gate_files(readers.read_lines(spark, str(tmp_path))).collect()}
+    assert not report["nonempty"].passed and not report["columns"].passed
+    assert report["coverage"].offending == 60 and report["updated_at"].passed
