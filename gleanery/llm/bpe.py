@@ -16,10 +16,14 @@ position; the walk is linear in the word's length. Decoding concatenates the lab
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import re
 from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,9 @@ REMEMBERED = 120_000
 REMEMBERED_ARCS = 250_000
 #: Longest word that is remembered.
 REMEMBERED_CHARS = 64
+#: Words or ids that are held as Python objects at a time; texts of up to as many characters
+#: are split at once.
+PIECE = 65_536
 
 
 def byte_letters() -> dict[str, int]:
@@ -193,8 +200,15 @@ class Codec:
             self.young[word] = packed
         return packed
 
-    def words(self, text: str) -> list[str]:
-        return (self.ascii_split if text.isascii() else self.split).findall(text)
+    def words(self, text: str) -> Iterator[list[str]]:
+        """The pre-split words of a text, a long one's a piece at a time."""
+        split = self.ascii_split if text.isascii() else self.split
+        if len(text) <= PIECE:
+            yield split.findall(text)
+            return
+        matches = split.finditer(text)
+        while words := [m[0] for m in islice(matches, PIECE)]:
+            yield words
 
     def pack(self, words: list[str]) -> bytes:
         """Ids of pre-split words as little-endian 32-bit numbers."""
@@ -208,21 +222,35 @@ class Codec:
     def encode(self, text: str) -> bytes:
         """Ids of a whole text; added tokens in it are taken first."""
         if self.special is None or not any(t in text for t in self.added):
-            return self.pack(self.words(text))
+            return b"".join(map(self.pack, self.words(text)))
         parts = self.special.split(text)
-        return b"".join(self.added.get(p) or self.pack(self.words(p)) for p in parts if p)
+        return b"".join(
+            self.added.get(p) or b"".join(map(self.pack, self.words(p))) for p in parts if p
+        )
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: Sequence[int] | np.ndarray) -> str:
+        """The text that ids spell; a long list's labels are joined a piece at a time."""
+        ids = np.asarray(ids, np.int32)
+        pieces = (ids[a : a + PIECE].tolist() for a in range(0, len(ids), PIECE))
+        return b"".join(b"".join(map(self.labels.__getitem__, p)) for p in pieces).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
 def codec(vocabulary: str) -> Codec:
     """One automaton for each worker process and vocabulary."""
-    pa.default_memory_pool().release_unused()  # what earlier stages left in this process
+    release()
     return Codec(vocabulary)
 
 
+def release() -> None:
+    """Give back to the system what earlier stages left free in this process."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def read_vocabulary(path: str) -> str:
     """A vocabulary file (about 1.5 MB, whatever the corpus) as text; tasks get it with their code."""
     with open(path, encoding="utf-8") as file:
@@ -261,7 +289,7 @@ def _coded_twice(df: DataFrame, vocabulary: str, text: str, made: str, kind: str
     def run(texts):
         tool = codec(shared.value)
         packed = [tool.encode(t) for t in texts]
-        other = [second(tool, np.frombuffer(p, np.int32).tolist(), t) for p, t in zip(packed, texts)]
+        other = [second(tool, np.frombuffer(p, np.int32), t) for p, t in zip(packed, texts)]
         return pa.StructArray.from_arrays([_lists(packed), pa.array(other, made)], ["ids", "other"])
 
     name = common.fresh(df, "coded")
@@ -302,7 +330,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
 
     def run(packed):
         tool = codec(shared.value)
-        return common.strings([tool.decode(x) for x in common.lists_of(packed)])
+        return common.strings([tool.decode(x) for x in common.arrays_of(packed)])
 
     return common.append_column(df, run, F.col(f"`{ids}`"), text, "string", as_list=False)
 

@@ -109,3 +109,12 @@ def test_query_digests(spark, sf_dir, texts, library):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         bpe.Codec(bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def test_long_texts_are_coded_in_pieces(vocabulary, library, monkeypatch):
+    tool = bpe.Codec(vocabulary)
+    monkeypatch.setattr(bpe, "PIECE", 7)
+    for text in ["two  words\n\n and 12 more, it's all 'round  " * 40, "déjà  vu — 漢字 👩‍👩‍👧  \t" * 40, " " * 50]:
+        ids = ids_of(tool, text)
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        assert tool.decode(ids) == text
