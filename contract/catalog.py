@@ -897,7 +897,7 @@ def _(spark, sf):
       md5(coalesce(description, '')) AS description_md5 FROM uniq""",
 )
 def _(spark, sf):
-    return dedupe.keep_first(fx.records(spark, sf)).select(
+    return dedupe.keep_first(fx.records(spark, sf), written=fx.firsts_writer(spark)).select(
         *ORDER_COLUMNS,
         "program_name",
         "level",
@@ -990,7 +990,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     folder = shared_folder(spark)
-    table = fx.finished(spark, sf)
+    # two sinks, so the table is worked out once like a build does
+    table = stage(fx.finished(spark, sf), folder, "finished")
     counts = {
         "table": sinks.write_table(table, f"{folder}/table"),
         "review": sinks.write_review_queue(table, f"{folder}/review"),
@@ -1094,7 +1095,8 @@ def _(spark, sf):
     "CASE WHEN reasons = '' THEN 'No' ELSE 'Yes' END AS review_needed FROM final",
 )
 def _(spark, sf):
-    table = normalise.normalise(dedupe.keep_first(fx.records(spark, sf)), fx.run_date())
+    kept = dedupe.keep_first(fx.records(spark, sf), written=fx.firsts_writer(spark))
+    table = normalise.normalise(kept, fx.run_date())
     return table.select(*ORDER_COLUMNS, "eligibility_criteria", "review_needed")
 
 

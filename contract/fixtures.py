@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from gleanery.functions.urls import authority
 from gleanery.operators.answers import conform_records
 from gleanery.operators.captures import read_captures
 from gleanery.plans.build import curate, run_date_column
+from gleanery.plans.staging import shared_folder, stage
 from gleanery.schema import LEVELS, RAW_TYPES
 from gleanery.sources.readers import with_registry_defaults
 
@@ -127,9 +130,15 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform_records(untrimmed_records(spark, sf_dir)).drop("k")
 
 
+def firsts_writer(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    """Writes the first places of duplicate keys and reads them back."""
+    folder = shared_folder(spark)
+    return lambda firsts: stage(firsts, folder, "firsts")
+
+
 def finished(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished table of the raw records."""
-    return curate(records(spark, sf_dir), run_date())
+    return curate(records(spark, sf_dir), run_date(), written=firsts_writer(spark))
 
 
 def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import dedupe_key
+from gleanery.operators.joins import fits_broadcast
 from gleanery.schema import ORDER_COLUMNS
 
 
-def duplicate_key() -> list[Column]:
-    """Name and administrator ignoring case and spacing, and the level."""
+_KEY_NAMES = ["key_name", "key_level", "key_administrator"]
+
+
+def _key() -> list[Column]:
     return [
-        dedupe_key(F.col("program_name")).alias("key_name"),
-        F.coalesce("level", F.lit("")).alias("key_level"),
-        dedupe_key(F.col("program_administrator")).alias("key_administrator"),
+        dedupe_key(F.col("program_name")),
+        F.coalesce("level", F.lit("")),
+        dedupe_key(F.col("program_administrator")),
     ]
 
 
+def duplicate_key() -> list[Column]:
+    """Name and administrator ignoring case and spacing, and the level."""
+    return [key.alias(name) for key, name in zip(_key(), _KEY_NAMES)]
+
+
 def counts_around(records: DataFrame) -> DataFrame:
     """Rows ``step, records``: how many records there are before and after first-wins.
 
@@ -30,12 +42,36 @@ def counts_around(records: DataFrame) -> DataFrame:
     return both.selectExpr("stack(2, 'before', before, 'after', after) AS (step, records)")
 
 
-def keep_first(records: DataFrame, order: list[str] | None = None) -> DataFrame:
+def _at_first_places(
+    records: DataFrame, order: list[str], written: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The records that stand at the first place of their duplicate key.
+
+    Places are compared over narrow columns. Of the records only those found are read whole,
+    where they lie while the places are within the broadcast limit. Beyond it a hash of the places
+    is looked up, so that no record is sorted.
+    """
+    place = F.struct(*order).alias("place")
+    firsts = written(records.groupBy(*duplicate_key()).agg(F.min(place).alias("place")))
+    firsts = F.broadcast(firsts) if fits_broadcast(firsts) else firsts.hint("shuffle_hash")
+    same = [key.eqNullSafe(firsts[name]) for key, name in zip(_key(), _KEY_NAMES)]
+    at = [F.col(c).eqNullSafe(firsts["place"].getField(c)) for c in order]
+    return records.join(firsts, reduce(and_, same + at), "left_semi")
+
+
+def keep_first(
+    records: DataFrame,
+    order: list[str] | None = None,
+    written: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The first record of every duplicate key, by ``order`` (source trust, then position).
 
     ``min_by`` combines within each map task first, so a key held by a third of the
-    records sends one row per task through the one shuffle.
+    records sends one row per task through the one shuffle. It sorts records whole; given
+    ``written``, which writes a table and reads it back, only those at first places get there.
     """
-    place = F.struct(*(order or ORDER_COLUMNS))
-    first = F.min_by(F.struct(*records.columns), place).alias("first")
+    order = order or ORDER_COLUMNS
+    if written is not None:
+        records = _at_first_places(records, order, written)
+    first = F.min_by(F.struct(*records.columns), F.struct(*order)).alias("first")
     return records.groupBy(*duplicate_key()).agg(first).select("first.*")

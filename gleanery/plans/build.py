@@ -99,10 +99,16 @@ def raw_records(answers: DataFrame, hints: DataFrame, run_date: Column) -> DataF
 
 
 def curate(
-    records: DataFrame, run_date: Column, defaults: PlaceDefaults = PlaceDefaults()
+    records: DataFrame,
+    run_date: Column,
+    defaults: PlaceDefaults = PlaceDefaults(),
+    written: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Raw records to finished rows: the first of each key, normalised, holes flagged."""
-    return flag_incomplete(normalise(keep_first(records), run_date, defaults))
+    """Raw records to finished rows: the first of each key, normalised, holes flagged.
+
+    ``written`` is what ``keep_first`` takes: it spares sorting whole records.
+    """
+    return flag_incomplete(normalise(keep_first(records, written=written), run_date, defaults))
 
 
 @dataclass
@@ -164,7 +170,8 @@ def build(
     with repeated_keys_allowed(registry.sparkSession):
         typed = stage(raw_records(given, source_hints(pages), day), folder, "raw")
     records = answering.accepted(typed)
-    table = stage(curate(records, day, defaults), folder, "table")
+    curated = curate(records, day, defaults, lambda firsts: stage(firsts, folder, "firsts"))
+    table = stage(curated, folder, "table")
     if check_links != 0:
         checked = flag_broken_links(table, link_status, check_links)
         table = stage(checked, folder, "checked")
