@@ -5,8 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from contract import fixtures as fx
+from gleanery.functions.coercion import is_object
 from gleanery.operators.dedupe import keep_first
 
+SF = "/root/testdata/sf0.001"
 LIMIT = "spark.sql.autoBroadcastJoinThreshold"
 
 
@@ -59,3 +62,29 @@ def test_only_records_at_first_places_are_sorted_whole(spark, tmp_path, threshol
     names = [name for name, _ in _nodes(kept)]
     join = "ShuffledHashJoin" if threshold else "BroadcastHashJoin"
     assert join in names and "SortMergeJoin" not in names
+
+
+def test_texts_do_not_move_with_the_answers_they_go_into(spark):
+    moved = [names for name, names in _nodes(fx.answers(spark, SF)) if name == "Exchange"]
+    assert moved and not any({"text", "item", "items", "buf"} & names for names in moved)
+
+
+def test_answers_are_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
+    def rows():
+        return {tuple(r) for r in fx.answers(spark, SF).selectExpr("source_id", "first_pos", "md5(payload)").collect()}
+
+    few = rows()
+    monkeypatch.setattr(fx, "TASK_CHARS", 10_000)  # many tasks
+    assert rows() == few
+    spark.conf.set(LIMIT, "-1")
+    try:
+        assert rows() == few
+    finally:
+        spark.conf.unset(LIMIT)
+
+
+def test_objects_are_told_without_naming_their_fields(spark):
+    texts = ['{}', '{"a": {"b": 1}}', '[]', '[{}]', '"x"', "1", "true", "null", '{"not-a-number-3f9d0c": 0}']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", is_object(F.parse_json("t")).alias("o"))
+    assert [r.o for r in rows.collect()] == [True, True] + [False] * 7
+    assert "schema_of_variant" not in rows._jdf.queryExecution().optimizedPlan().toString()
