@@ -202,4 +202,6 @@ def visible_text(html: Column) -> Column:
         return collapse_space(F.coalesce(text, F.lit("")))
 
     # an array of one, so that the marks are looked for once
-    return F.element_at(F.transform(F.array(marks), chosen), 1)
+    text = F.element_at(F.transform(F.array(marks), chosen), 1)
+    # told first, so that no plan carries the look for sources that have no page
+    return F.when(html.isNull(), F.lit("")).otherwise(text)
