@@ -16,8 +16,6 @@ position; the walk is linear in the word's length. Decoding concatenates the lab
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import json
 import re
 from array import array
@@ -238,19 +236,10 @@ class Codec:
 @lru_cache(maxsize=2)
 def codec(vocabulary: str) -> Codec:
     """One automaton for each worker process and vocabulary."""
-    release()
+    common.release()
     return Codec(vocabulary)
 
 
-def release() -> None:
-    """Give back to the system what earlier stages left free in this process."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
-    if trim is not None:
-        trim(0)
-
-
 def read_vocabulary(path: str) -> str:
     """A vocabulary file (about 1.5 MB, whatever the corpus) as text; tasks get it with their code."""
     with open(path, encoding="utf-8") as file:
