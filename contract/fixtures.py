@@ -32,11 +32,12 @@ def run_date() -> Column:
 
 
 def pick(index: Column, values: list[str | None]) -> Column:
-    """The value at a 0-based position, null beyond the list."""
-    choice = F.lit(None).cast("string")
-    for i, value in enumerate(values):
-        choice = F.when(index == i, F.lit(value)).otherwise(choice)
-    return choice
+    """The value at a 0-based position, null beyond the list.
+
+    A list, not a chain of conditions: so the code generated for a record stays small enough to
+    be compiled.
+    """
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), index)
 
 
 def _strings(condition: Column, values: list[str]) -> Column:
@@ -334,7 +335,8 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce(value, F.lit("")),
             F.coalesce(home, F.lit("")),
             F.lit(","),
-            F.substring(rest, 2, F.length(rest)),
+            # Only the brace that opens the rest goes; no walk over its characters.
+            F.ltrim(rest, F.lit("{")),
         )
     )
     grouped = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,22 @@ def test_answers_are_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
         spark.conf.unset(LIMIT)
 
 
+def test_code_that_writes_answers_is_small_enough_to_be_compiled(spark, capsys):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fx.answers(spark, SF).explain(mode="codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000  # the JVM interprets larger methods
+
+
+def test_values_are_picked_by_place(spark):
+    places = spark.createDataFrame([(n,) for n in (-1, 0, 1, 2, 3, None)], "n long")
+    rows = places.select(fx.pick(F.col("n"), ["a", None, "c"]).alias("v")).collect()
+    assert [r.v for r in rows] == [None, "a", None, "c", None, None]
+
+
 def test_objects_are_told_without_naming_their_fields(spark):
     texts = ['{}', '{"a": {"b": 1}}', '[]', '[{}]', '"x"', "1", "true", "null", '{"not-a-number-3f9d0c": 0}']
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", is_object(F.parse_json("t")).alias("o"))
