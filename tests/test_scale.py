@@ -7,9 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from compare import connect, difference
+from contract import catalog
 from contract import fixtures as fx
 from gleanery.functions.coercion import is_object
 from gleanery.operators.dedupe import keep_first
+from gleanery.plans.staging import stage
 
 SF = "/root/testdata/sf0.001"
 LIMIT = "spark.sql.autoBroadcastJoinThreshold"
@@ -106,3 +109,24 @@ def test_objects_are_told_without_naming_their_fields(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", is_object(F.parse_json("t")).alias("o"))
     assert [r.o for r in rows.collect()] == [True, True] + [False] * 7
     assert "schema_of_variant" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+#: What a query reads of typed records once they are written.
+READ = {
+    "e06_typed_extraction": None,  # what it returns
+}
+
+
+@pytest.mark.parametrize("name", READ)
+def test_typed_records_are_written_in_the_columns_read_later(spark, monkeypatch, name):
+    written = {}
+
+    def watched(df, folder, table):
+        written[table] = df.columns
+        return stage(df, folder, table)
+
+    monkeypatch.setattr(catalog, "stage", watched)
+    rows = catalog.QUERIES[name](spark, SF)
+    assert set(written["raw"]) == {*(READ[name] or rows.columns), "reject_reasons"}
+    monkeypatch.setitem(catalog.QUERIES, name, lambda *_: rows)
+    assert difference(spark, connect(SF), name, SF) is None
