@@ -1071,10 +1071,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # two batches of one shape: records given as such, and those typed from answers
-    given = fx.records(spark, sf)
-    typed = answering.accepted(_typed(spark, sf))
-    both = answering.append_records(given, typed)
-    return both.groupBy("source_ord").agg(F.count("*").alias("n"))
+    given = fx.records(spark, sf).withColumn("reject_reasons", F.array().cast("array<string>"))
+    both = answering.append_records(given, _raw(spark, sf))
+    kept = answering.accepted(_written_once(spark, both, "source_ord"))
+    return kept.groupBy("source_ord").agg(F.count("*").alias("n"))
 
 
 @query(

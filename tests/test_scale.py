@@ -114,6 +114,7 @@ def test_objects_are_told_without_naming_their_fields(spark):
 #: What a query reads of typed records once they are written.
 READ = {
     "e06_typed_extraction": None,  # what it returns
+    "i05_append_records": ["source_ord"],
 }
 
 
