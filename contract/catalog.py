@@ -206,7 +206,7 @@ def _(spark, sf):
 def _audit(spark, sf):
     """Pages read, and the accepted records of their answers, counted."""
     pages = _pages(spark, sf)
-    return audit.audit(pages, answering.accepted(_typed(spark, sf, pages=pages)))
+    return audit.audit(pages, answering.accepted(_typed(spark, sf, "source_id", pages=pages)))
 
 
 _AUDIT = f"""{q.RAW}, {q.PAGES}, {q.ANSWERED},

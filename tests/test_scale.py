@@ -115,6 +115,7 @@ def test_objects_are_told_without_naming_their_fields(spark):
 READ = {
     "e06_typed_extraction": None,  # what it returns
     "i05_append_records": ["source_ord"],
+    "a08_audit_jsonl": ["source_id"],
 }
 
 
