@@ -116,6 +116,7 @@ READ = {
     "e06_typed_extraction": None,  # what it returns
     "i05_append_records": ["source_ord"],
     "a08_audit_jsonl": ["source_id"],
+    "e03_absent_hints": None,
 }
 
 
