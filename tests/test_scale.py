@@ -117,6 +117,7 @@ READ = {
     "i05_append_records": ["source_ord"],
     "a08_audit_jsonl": ["source_id"],
     "e03_absent_hints": None,
+    "e04_falsy_hints": None,
 }
 
 
