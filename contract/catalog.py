@@ -588,8 +588,9 @@ def _(spark, sf):
     # empty lists arrive as null
     empty, null = F.lit('"zip_codes":[]'), F.lit('"zip_codes":null')
     given = fx.answers(spark, sf).withColumn("payload", F.replace("payload", empty, null))
-    typed = build.raw_records(given, build.source_hints(_pages(spark, sf)), fx.run_date())
-    return answering.accepted(stage(typed, shared_folder(spark), "raw")).select(
+    lists = ["eligible_property_types", "zip_codes"]
+    typed = _written_once(spark, _raw(spark, sf, answers=given), "source_id", "rec_ord", *lists)
+    return answering.accepted(typed).select(
         "source_id",
         "rec_ord",
         flat(F.col("eligible_property_types")).alias("eligible_property_types"),

@@ -118,6 +118,7 @@ READ = {
     "a08_audit_jsonl": ["source_id"],
     "e03_absent_hints": None,
     "e04_falsy_hints": None,
+    "e05_null_lists": ["source_id", "rec_ord", "eligible_property_types", "zip_codes"],
 }
 
 
