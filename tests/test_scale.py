@@ -119,6 +119,7 @@ READ = {
     "e03_absent_hints": None,
     "e04_falsy_hints": None,
     "e05_null_lists": ["source_id", "rec_ord", "eligible_property_types", "zip_codes"],
+    "f17_run_date": ["last_verified_at"],
 }
 
 
