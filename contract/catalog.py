@@ -925,7 +925,7 @@ def _(spark, sf):
     SELECT source_id, count(*) AS records FROM answered GROUP BY 1""",
 )
 def _(spark, sf):
-    return audit.records_per_source(answering.accepted(_typed(spark, sf)))
+    return audit.records_per_source(answering.accepted(_typed(spark, sf, "source_id")))
 
 
 @query(

@@ -120,6 +120,7 @@ READ = {
     "e04_falsy_hints": None,
     "e05_null_lists": ["source_id", "rec_ord", "eligible_property_types", "zip_codes"],
     "f17_run_date": ["last_verified_at"],
+    "h02_records_per_source": ["source_id"],
 }
 
 
