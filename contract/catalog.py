@@ -90,7 +90,7 @@ def _written_once(spark, raw, *columns):
     A build writes whole records since its table has them all. A query names the columns it
     reads, so that long texts are typed and checked but written only where they are read.
     """
-    return stage(raw.select(*columns, "reject_reasons") if columns else raw, shared_folder(spark), "raw")
+    return stage(raw.select(*columns, "reject_reasons"), shared_folder(spark), "raw")
 
 
 def _typed(spark, sf, *columns, pages=None):
@@ -305,7 +305,8 @@ def _(spark, sf):
     FROM hinted WHERE length(trim(text)) >= 40 AND (event_id % 13 = 0 OR event_id % 17 = 0)""",
 )
 def _(spark, sf):
-    return answering.rejected(_typed(spark, sf)).select(
+    typed = _typed(spark, sf, *ORDER_COLUMNS, "source_id", "program_name")
+    return answering.rejected(typed).select(
         "source_id", "rec_ord", flat(F.col("reject_reasons")).alias("reasons")
     )
 
@@ -828,7 +829,7 @@ def _(spark, sf):
     FROM hinted WHERE length(trim(text)) >= 40 GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    typed = _typed(spark, sf)
+    typed = _typed(spark, sf, "source_ord", "level")
     return typed.groupBy("source_ord", "level").agg(F.count("*").alias("n"))
 
 

@@ -121,6 +121,7 @@ READ = {
     "e05_null_lists": ["source_id", "rec_ord", "eligible_property_types", "zip_codes"],
     "f17_run_date": ["last_verified_at"],
     "h02_records_per_source": ["source_id"],
+    "b05_row_validity": ["source_ord", "rec_ord", "source_id", "program_name"],
 }
 
 
