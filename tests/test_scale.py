@@ -125,6 +125,15 @@ READ = {
 }
 
 
+def test_staged_texts_are_packed_tightly(spark, tmp_path):
+    texts = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts.coalesce(1).write.parquet(str(tmp_path / "plain"))
+    staged = stage(texts.coalesce(1), str(tmp_path), "staged")
+    assert sorted(staged.collect()) == sorted(texts.collect())
+    plain, packed = (sum(p.stat().st_size for p in (tmp_path / n).glob("*.parquet")) for n in ("plain", "staged"))
+    assert packed < 0.8 * plain
+
+
 @pytest.mark.parametrize("name", READ)
 def test_typed_records_are_written_in_the_columns_read_later(spark, monkeypatch, name):
     written = {}
