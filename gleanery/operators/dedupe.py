@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import dedupe_key
-from gleanery.operators.joins import fits_broadcast
+from gleanery.operators.joins import fits_broadcast, maybe_among
 from gleanery.schema import ORDER_COLUMNS
 
 
@@ -45,18 +45,25 @@ def counts_around(records: DataFrame) -> DataFrame:
 def _at_first_places(
     records: DataFrame, order: list[str], written: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """The records that stand at the first place of their duplicate key.
+    """The records that stand at the first place of their duplicate key, and few others of that key.
 
-    Places are compared over narrow columns. Of the records only those found are read whole,
-    where they lie while the places are within the broadcast limit. Beyond it a hash of the places
-    is looked up, so that no record is sorted.
+    Places are compared over narrow columns, then by a hash. Of the records only those found are read
+    whole, where they lie while the places are within the broadcast limit. Beyond it a bitmap of the
+    places drops nearly all other records where they lie; the rest is shuffled by key and place and
+    looked up in a hash table, so that no record is sorted for it.
     """
     place = F.struct(*order).alias("place")
     firsts = written(records.groupBy(*duplicate_key()).agg(F.min(place).alias("place")))
-    firsts = F.broadcast(firsts) if fits_broadcast(firsts) else firsts.hint("shuffle_hash")
-    same = [key.eqNullSafe(firsts[name]) for key, name in zip(_key(), _KEY_NAMES)]
-    at = [F.col(c).eqNullSafe(firsts["place"].getField(c)) for c in order]
-    return records.join(firsts, reduce(and_, same + at), "left_semi")
+    there = [firsts["place"].getField(c) for c in order]
+    if fits_broadcast(firsts):
+        found = F.broadcast(firsts)
+    else:
+        records = maybe_among(records, [F.col(c) for c in order], firsts, there)
+        found = firsts.hint("shuffle_hash")
+    # Keys are never null, so the join deals records out as they are grouped next.
+    same = [key == firsts[name] for key, name in zip(_key(), _KEY_NAMES)]
+    same.append(F.xxhash64(*order) == F.xxhash64(*there))
+    return records.join(found, reduce(and_, same), "left_semi")
 
 
 def keep_first(
@@ -71,7 +78,10 @@ def keep_first(
     ``written``, which writes a table and reads it back, only those at first places get there.
     """
     order = order or ORDER_COLUMNS
+    group = _key()
     if written is not None:
         records = _at_first_places(records, order, written)
+        # One place of a key is left, so that this splits no key; records then move only once.
+        group.append(F.xxhash64(*order))
     first = F.min_by(F.struct(*records.columns), F.struct(*order)).alias("first")
-    return records.groupBy(*duplicate_key()).agg(first).select("first.*")
+    return records.groupBy(*group).agg(first).select("first.*")

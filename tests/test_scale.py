@@ -11,6 +11,7 @@ from compare import connect, difference
 from contract import catalog
 from contract import fixtures as fx
 from gleanery.functions.coercion import is_object
+from gleanery.operators import joins
 from gleanery.operators.dedupe import keep_first
 from gleanery.plans.staging import stage
 
@@ -69,6 +70,37 @@ def test_only_records_at_first_places_are_sorted_whole(spark, tmp_path, threshol
     assert join in names and "SortMergeJoin" not in names
 
 
+def test_records_beyond_the_limit_move_whole_once_and_few_others_with_them(spark, tmp_path):
+    def written(firsts):
+        firsts.write.parquet(str(tmp_path / "firsts"))
+        return spark.read.parquet(str(tmp_path / "firsts"))
+
+    settings = {LIMIT: "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        nodes = _nodes(keep_first(_records(spark), written=written))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    names = [name for name, _ in nodes]
+    join = names.index("ShuffledHashJoin")
+    assert "Exchange" not in names[:join]  # grouped where they were looked up
+    moved = [place for place, (name, columns) in enumerate(nodes) if name == "Exchange" and "program_name" in columns]
+    assert len(moved) == 1 and "BroadcastHashJoin" in names[moved[0] :]
+
+
+@pytest.mark.parametrize("most_bits, most_others", [(joins.MOST_BITS, 2_000), (1 << 8, 19_600)])
+def test_rows_that_may_be_among_others_are_all_that_are_and_few_more(spark, monkeypatch, most_bits, most_others):
+    monkeypatch.setattr(joins, "MOST_BITS", most_bits)
+    left = spark.range(0, 20_000).select((F.col("id") % 50).alias("a"), F.when(F.col("id") % 7 != 0, F.col("id")).alias("b"))
+    right = left.filter("a = 3").toDF("x", "y")
+    kept = joins.maybe_among(left, [F.col("a"), F.col("b")], right, [F.col("x"), F.col("y")])
+    assert kept.columns == left.columns and kept.filter("a = 3").count() == right.count() == 400
+    assert kept.count() - 400 < most_others
+    assert joins.maybe_among(left, [F.col("b")], right.limit(0), [F.col("y")]).isEmpty()
+
+
 def test_texts_do_not_move_with_the_answers_they_go_into(spark):
     moved = [names for name, names in _nodes(fx.answers(spark, SF)) if name == "Exchange"]
     assert moved and not any({"text", "item", "items", "buf"} & names for names in moved)
