@@ -166,6 +166,11 @@ def test_staged_texts_are_packed_tightly(spark, tmp_path):
     assert packed < 0.8 * plain
 
 
+def test_places_that_may_be_broadcast_keep_the_codec_of_the_session(spark):
+    firsts = fx.firsts_writer(spark)(spark.range(5).toDF("place"))
+    assert not any(".zstd." in file for file in firsts.inputFiles()) and firsts.count() == 5
+
+
 @pytest.mark.parametrize("name", READ)
 def test_typed_records_are_written_in_the_columns_read_later(spark, monkeypatch, name):
     written = {}
